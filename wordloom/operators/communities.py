@@ -7,8 +7,10 @@ outside the component, so components can be worked on apart as long as the whole
 
 import heapq
 from collections import defaultdict
+from collections.abc import Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +64,25 @@ def merge_greedily(pairs: list[tuple[str, str]], total: int) -> dict[str, str]:
     return {word: min(group) for group in members.values() for word in group}
 
 
+def _themes_by_component(total: int):
+    """Streams rows ``(component, a, b)``, sorted by component, and merges one component at a time."""
+    def batch(found: dict[str, str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"word": list(found), "theme": list(found.values())})
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for part in stream for row in zip(*(column.to_pylist() for column in part.columns)))
+        found: dict[str, str] = {}
+        for _, edges in groupby(rows, key=lambda row: row[0]):
+            found |= merge_greedily([(a, b) for _, a, b in edges], total)
+            if len(found) >= 10_000:
+                yield batch(found)
+                found = {}
+        if found:
+            yield batch(found)
+
+    return run
+
+
 def _both_ends(*carried: str) -> Column:
     def end(x: str, y: str) -> Column:
         return F.struct(F.col(x).alias("x"), F.col(y).alias("y"), *[F.col(c).alias(c) for c in carried])
@@ -155,15 +176,12 @@ def themes(pairs: DataFrame, components: DataFrame, task_pairs: int = 500_000) -
     sizes = tagged.groupBy("component").agg(F.count("*").alias("n"))
     total, widest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
 
-    def one_component(edges: pd.DataFrame) -> pd.DataFrame:
-        found = merge_greedily(list(zip(edges["a"], edges["b"])), total)
-        return pd.DataFrame({"word": list(found), "theme": list(found.values())})
-
     small = tagged
     if widest > task_pairs:
         large = sizes.where(F.col("n") > task_pairs).select("component")
         small = tagged.join(large, "component", "left_anti")
-    grouped = small.groupBy("component").applyInPandas(one_component, "word string, theme string")
+    by_component = small.select("component", "a", "b").repartition("component").sortWithinPartitions("component")
+    grouped = by_component.mapInArrow(_themes_by_component(total), "word string, theme string")
     if widest > task_pairs:
         grouped = grouped.unionByName(merge_in_rounds(tagged.join(large, "component", "left_semi"), total))
     grouped = staged(grouped, "themes")

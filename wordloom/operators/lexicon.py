@@ -31,6 +31,8 @@ def last_wins(df: DataFrame, keys: list[str], values: list[str], order: Column)
 
     An aggregate rather than a window: rows of a frequent key are reduced before the shuffle.
     """
+    if len(values) == 1:
+        return df.groupBy(*keys).agg(F.max_by(values[0], order).alias(values[0]))
     return df.groupBy(*keys).agg(F.max_by(F.struct(*values), order).alias("_last")).select(*keys, "_last.*")
 
 

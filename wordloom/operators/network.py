@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.operators.numbering import collect_in_parts
+from wordloom.operators.numbering import collect_in_parts, number_rows
 from wordloom.sources.workspace import staged
 
 
@@ -43,11 +43,15 @@ def network_edges(edges: DataFrame, rel: str, limit: int | None = None) -> DataF
     )
 
 
+def _ends(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    """Each pair seen from both ends, in a single scan."""
+    return pairs.select(F.inline(F.array(
+        F.struct(F.col("a").alias(x), F.col("b").alias(y)), F.struct(F.col("b").alias(x), F.col("a").alias(y)))))
+
+
 def _large_star(pairs: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a node to the smallest word among the node and its neighbours."""
-    ends = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
-                   F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
-    around = pairs.select(F.inline(ends))
+    """Link every larger neighbour of a node to the smallest among the node and its neighbours."""
+    around = _ends(pairs, "u", "v")
     smallest = around.groupBy("u").agg(F.min("v").alias("_min")).select("u", F.least("u", "_min").alias("m"))
     return around.where("v > u").join(smallest, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
 
@@ -59,42 +63,45 @@ def _small_star(pairs: DataFrame) -> DataFrame:
     return linked.unionByName(smallest.select(F.col("m").alias("a"), "b")).distinct()
 
 
-def _fingerprint(pairs: DataFrame) -> tuple:
-    digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    return tuple(pairs.agg(F.count("*"), digest).first())
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether every node is either a centre or linked to exactly one centre."""
+    roles = pairs.select(F.inline(F.array(
+        F.struct(F.col("a").alias("node"), F.lit(0).alias("up")), F.struct(F.col("b").alias("node"), F.lit(1).alias("up")))))
+    counts = roles.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("centre"))
+    return counts.where((F.col("ups") > 1) | ((F.col("ups") == 1) & (F.col("centre") == 0))).isEmpty()
 
 
 def components(pairs: DataFrame) -> DataFrame:
     """``(word, component)`` for undirected pairs ``(a, b)``; a component is named by its smallest word.
 
     Alternating large-star and small-star steps: the number of rounds grows with the logarithm of the longest
-    path, and a hub costs one minimum per round instead of a list of its neighbours. Each round is written to the
-    shared folder; only a row count and a hash sum reach the driver to see whether anything changed.
+    path, and a hub costs one minimum per round instead of a list of its neighbours. The rounds work on dense word
+    numbers, which keep the order of the words and make for short shuffle rows and hash aggregation. Every step is
+    written to the shared folder, so a lost executor never sets a round back and no plan grows with the rounds.
     """
-    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
-    current = staged(ordered, "stars")
-    state = _fingerprint(current)
-    while True:
-        following = staged(_small_star(_large_star(current)), "stars")
-        new_state = _fingerprint(following)
-        if new_state == state:
-            break
-        current, state = following, new_state
-    roots = following.select(F.col("a").alias("word"), F.col("a").alias("component")).distinct()
-    return following.select(F.col("b").alias("word"), F.col("a").alias("component")).unionByName(roots)
+    words = pairs.where("a != b").select(F.explode(F.array("a", "b")).alias("word")).distinct()
+    ids = staged(number_rows(words, "word", name="id"), "ids")
+
+    def id_of(column: str) -> DataFrame:
+        return ids.select(F.col("word").alias(column), F.col("id").alias(f"{column}_id"))
+
+    numbered = pairs.where("a != b").join(id_of("a"), "a").join(id_of("b"), "b")
+    stars = staged(numbered.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")), "stars")
+    while not _are_stars(stars):
+        stars = staged(_small_star(staged(_large_star(stars), "stars")), "stars")
+    centres = stars.select(F.col("a").alias("id"), F.col("a").alias("centre")).distinct()
+    linked = stars.select(F.col("b").alias("id"), F.col("a").alias("centre")).unionByName(centres)
+    names = ids.select(F.col("id").alias("centre"), F.col("word").alias("component"))
+    return linked.join(ids, "id").join(names, "centre").select("word", "component")
 
 
 def modularity(pairs: DataFrame, membership: DataFrame, group: str) -> DataFrame:
     """``(modularity)`` of a partition: sum over groups of L/m - (d/2m)^2."""
-    ends = F.array(
-        F.struct(F.col("a").alias("word"), F.col("b").alias("other")),
-        F.struct(F.col("b").alias("word"), F.col("a").alias("other")),
-    )
     member = membership.select("word", F.col(group).alias("g"))
     other = membership.select(F.col("word").alias("other"), F.col(group).alias("og"))
     # Every edge appears twice, so d counts edge ends and inside counts each inner edge twice.
     per_group = (
-        pairs.select(F.inline(ends)).join(member, "word").join(other, "other").groupBy("g")
+        _ends(pairs, "word", "other").join(member, "word").join(other, "other").groupBy("g")
         .agg(F.count("*").alias("d"), F.count_if(F.col("g") == F.col("og")).alias("inside"))
     )
     ends_total = F.sum("d")

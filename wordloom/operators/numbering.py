@@ -42,12 +42,13 @@ def collect_in_parts(df: DataFrame, keys: list[str], value: str, part_size: int
     holds more than ``part_size`` values of a key.
     """
     rows = df.select(*keys, value)
-    large = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > part_size).select(*keys)
     listed = F.sort_array(F.collect_set(value)).alias("values")
-    small_lists = (
-        rows.join(large, keys, "left_anti").groupBy(*keys).agg(listed)
-        .select(*keys, F.lit(0).cast("bigint").alias("part"), "values")
-    )
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    large = staged(counts.where(F.col("_n") > part_size).select(*keys), "large-keys")
+    first_part = F.lit(0).cast("bigint").alias("part")
+    if large.isEmpty():
+        return rows.groupBy(*keys).agg(listed).select(*keys, first_part, "values")
+    small_lists = rows.join(large, keys, "left_anti").groupBy(*keys).agg(listed).select(*keys, first_part, "values")
     numbered = number_rows(rows.join(large, keys, "left_semi").distinct(), *keys, value, name="_n")
     first = numbered.groupBy(*keys).agg(F.min("_n").alias("_first"))
     large_lists = (

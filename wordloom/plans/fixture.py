@@ -104,4 +104,4 @@ def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stub's answers for the whole vocabulary as lines; raw answers are written before they are parsed."""
     answers = stored(spark, sf_dir, "answers",
                      lambda: labelling.responses(word_batches(spark, sf_dir), stub_labeller))
-    return labelling.response_lines(answers)
+    return labelling.response_lines(spread(answers))
