@@ -87,8 +87,10 @@ def components(pairs: DataFrame) -> DataFrame:
 
     numbered = pairs.where("a != b").join(id_of("a"), "a").join(id_of("b"), "b")
     stars = staged(numbered.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")), "stars")
-    while not _are_stars(stars):
+    while True:
         stars = staged(_small_star(staged(_large_star(stars), "stars")), "stars")
+        if _are_stars(stars):
+            break
     centres = stars.select(F.col("a").alias("id"), F.col("a").alias("centre")).distinct()
     linked = stars.select(F.col("b").alias("id"), F.col("a").alias("centre")).unionByName(centres)
     names = ids.select(F.col("id").alias("centre"), F.col("word").alias("component"))
