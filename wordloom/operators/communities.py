@@ -97,8 +97,8 @@ def _big(column) -> Column:
 def _merge_round(links: DataFrame, degrees: DataFrame, total: int) -> DataFrame:
     """``(x, root)`` for the groups that change in this round; empty when no merge helps.
 
-    Every group looks at its best partner. Pairs that choose each other merge; groups whose choice is in such a pair
-    may join it. Joining is decided per pair on nested subsets of the followers (all, about a half, a quarter, ...):
+    Every group looks at its best partner; ties are broken by hash, so that along a path of equals many pairs choose
+    each other and not only the first. Such pairs merge, and groups whose choice is in such a pair may join it. Joining is decided per pair on nested subsets of the followers (all, about a half, a quarter, ...):
     the largest subset under which modularity does not fall joins. Subset sums are aggregates over at most 64
     levels, so a hub with any number of followers is no problem for one task.
     """
@@ -111,7 +111,8 @@ def _merge_round(links: DataFrame, degrees: DataFrame, total: int) -> DataFrame:
         .where("loss <= 0")
     )
     ends = scored.select(_both_ends("n", "loss"))
-    order = F.struct("loss", F.least("x", "y"), F.greatest("x", "y"))
+    lo, hi = F.least("x", "y"), F.greatest("x", "y")
+    order = F.struct("loss", F.xxhash64(lo, hi), lo, hi)
     best = staged(ends.groupBy("x").agg(F.min_by(F.struct("y", "n"), order).alias("b"))
                   .select("x", F.col("b.y").alias("y"), F.col("b.n").alias("n")), "best")
     choice = best.select(F.col("x").alias("y"), F.col("y").alias("back"))
