@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
@@ -24,10 +25,11 @@ def test_every_word_is_in_one_full_batch(spark):
         assert [sum(r.batch_id == b for r in rows) for b in range(len(sizes))] == sizes
 
 
-def test_lists_of_one_hot_key_are_cut_into_parts(spark):
+@pytest.mark.parametrize("broadcast_keys", [0, 10])
+def test_lists_of_one_hot_key_are_cut_into_parts(spark, broadcast_keys):
     hot = spark.range(2500).select(F.lit("hot").alias("k"), F.format_string("v%05d", "id").alias("v"))
     few = spark.createDataFrame([("cold", "b"), ("cold", "a"), ("cold", "a")], "k string, v string")
-    result = collect_in_parts(hot.union(hot).union(few), ["k"], "v", part_size=1000).collect()
+    result = collect_in_parts(hot.union(hot).union(few), ["k"], "v", 1000, broadcast_keys).collect()
     lists = {(row.k, row.part): row["values"] for row in result}
     assert lists["cold", 0] == ["a", "b"]
     assert [len(lists["hot", part]) for part in range(3)] == [1000, 1000, 500]

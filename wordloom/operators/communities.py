@@ -116,7 +116,8 @@ def _merge_round(links: DataFrame, degrees: DataFrame, total: int) -> DataFrame:
     best = staged(ends.groupBy("x").agg(F.min_by(F.struct("y", "n"), order).alias("b"))
                   .select("x", F.col("b.y").alias("y"), F.col("b.n").alias("n")), "best")
     choice = best.select(F.col("x").alias("y"), F.col("y").alias("back"))
-    decided = best.join(choice, "y").withColumn("mutual", F.col("back") == F.col("x"))
+    # Written, so that the next join on the same column shuffles anew and Spark can split a hub's partition.
+    decided = staged(best.join(choice, "y").withColumn("mutual", F.col("back") == F.col("x")), "decided")
     pairs = decided.where("mutual").select("x", F.least("x", "y").alias("root"), "n")
     joined = pairs.select(F.col("x").alias("y"), "root")
     level = F.length(F.regexp_extract(F.bin(F.xxhash64("x")), "0*$", 0))
@@ -135,6 +136,7 @@ def _merge_round(links: DataFrame, degrees: DataFrame, total: int) -> DataFrame:
     running = sums.select("root", "level", *[F.sum(c).over(upto).alias(c) for c in ("n", "d", "d2")])
     loss = (_big("d") * _big("d") - F.col("d2")) / 2 - twice * _big("n")
     accepted = running.where(F.col("level").isNotNull() & (loss <= 0)).groupBy("root").agg(F.min("level").alias("from"))
+    accepted = staged(accepted, "accepted")
     joining = followers.join(accepted, "root").where("level >= from").select("x", "root")
     return pairs.select("x", "root").unionByName(joining)
 
@@ -163,7 +165,7 @@ def merge_in_rounds(pairs: DataFrame, total: int) -> DataFrame:
                        .agg(F.sum("n").alias("n")), "links")
         degrees = staged(moved(degrees, "g").groupBy("g").agg(F.sum("degree").alias("degree")), "degrees")
         groups = staged(moved(groups, "theme"), "groups")
-    names = groups.groupBy("theme").agg(F.min("word").alias("name"))
+    names = staged(groups.groupBy("theme").agg(F.min("word").alias("name")), "names")
     return groups.join(names, "theme").select("word", F.col("name").alias("theme"))
 
 

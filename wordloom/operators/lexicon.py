@@ -111,8 +111,11 @@ def word_profile(keys: DataFrame, freq: DataFrame, sentiment: DataFrame, edges:
 
     A word with more than ``part_size`` synonyms or antonyms gets further rows, numbered by ``part``.
     """
+    # The semi join takes the keys as they come and the lists get their own partitions, so that Spark may split the
+    # join partition that holds a hub's edges.
+    wanted = edges.withColumnRenamed("src", "word").join(keys.select("word"), "word", "left_semi")
+    wanted = wanted.repartition("word", "rel", "dst")
     keys = keys.select("word").distinct()
-    wanted = edges.withColumnRenamed("src", "word").join(keys, "word", "left_semi")
     lists = collect_in_parts(wanted, ["word", "rel"], "dst", part_size)
 
     def listing(rel: str) -> Column:

@@ -53,12 +53,13 @@ def _large_star(pairs: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest among the node and its neighbours."""
     around = _ends(pairs, "u", "v")
     smallest = around.groupBy("u").agg(F.min("v").alias("_min")).select("u", F.least("u", "_min").alias("m"))
+    smallest = staged(smallest, "smallest")
     return around.where("v > u").join(smallest, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
 
 
 def _small_star(pairs: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them; pairs are ``a < b``."""
-    smallest = pairs.groupBy("b").agg(F.min("a").alias("m"))
+    smallest = staged(pairs.groupBy("b").agg(F.min("a").alias("m")), "smallest")
     linked = pairs.join(smallest, "b").select(F.col("m").alias("a"), F.col("a").alias("b")).where("a != b")
     return linked.unionByName(smallest.select(F.col("m").alias("a"), "b")).distinct()
 
@@ -77,7 +78,9 @@ def components(pairs: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps: the number of rounds grows with the logarithm of the longest
     path, and a hub costs one minimum per round instead of a list of its neighbours. The rounds work on dense word
     numbers, which keep the order of the words and make for short shuffle rows and hash aggregation. Every step is
-    written to the shared folder, so a lost executor never sets a round back and no plan grows with the rounds.
+    written to the shared folder, so a lost executor never sets a round back and no plan grows with the rounds. The
+    minima are written too: joined straight from their aggregation they would keep its partitions, and Spark splits
+    the partition of a hub only where the join shuffles both sides itself.
     """
     words = pairs.where("a != b").select(F.explode(F.array("a", "b")).alias("word")).distinct()
     ids = staged(number_rows(words, "word", name="id"), "ids")

@@ -34,26 +34,31 @@ def batches(words: DataFrame, size: int = 80) -> DataFrame:
     return numbered.select(F.floor((F.col("_n") - 1) / size).alias("batch_id"), "word")
 
 
-def collect_in_parts(df: DataFrame, keys: list[str], value: str, part_size: int = 1000) -> DataFrame:
+def collect_in_parts(df: DataFrame, keys: list[str], value: str, part_size: int = 1000,
+                     broadcast_keys: int = 100_000) -> DataFrame:
     """``(*keys, part, values)``: the distinct, sorted values of each key in lists of at most ``part_size``.
 
     Nearly every key fits one list and takes one aggregation. Keys with more values are found first by counting;
     only their rows are numbered over a range-partitioned sort and cut into parts, so no task and no row ever
-    holds more than ``part_size`` values of a key.
+    holds more than ``part_size`` values of a key. Up to ``broadcast_keys`` such keys are broadcast. Beyond that both
+    sides are shuffled; the repartition keeps the grouping from relying on the join's partitions, which is what lets
+    Spark split the partition of a hot key.
     """
     rows = df.select(*keys, value)
     listed = F.sort_array(F.collect_set(value)).alias("values")
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     large = staged(counts.where(F.col("_n") > part_size).select(*keys), "large-keys")
     first_part = F.lit(0).cast("bigint").alias("part")
-    if large.isEmpty():
+    large_count = large.count()
+    if large_count == 0:
         return rows.groupBy(*keys).agg(listed).select(*keys, first_part, "values")
-    small_lists = rows.join(large, keys, "left_anti").groupBy(*keys).agg(listed).select(*keys, first_part, "values")
-    numbered = number_rows(rows.join(large, keys, "left_semi").distinct(), *keys, value, name="_n")
-    first = numbered.groupBy(*keys).agg(F.min("_n").alias("_first"))
-    large_lists = (
-        numbered.join(first, keys)
-        .withColumn("part", F.floor((F.col("_n") - F.col("_first")) / part_size))
-        .groupBy(*keys, "part").agg(listed)
-    )
-    return small_lists.unionByName(large_lists)
+    if large_count <= broadcast_keys:
+        sized, small = F.broadcast, rows.join(F.broadcast(large), keys, "left_anti")
+    else:
+        sized, small = lambda table: table, rows.join(large, keys, "left_anti").repartition(*keys, value)
+    small_lists = small.groupBy(*keys).agg(listed).select(*keys, first_part, "values")
+    numbered = number_rows(rows.join(sized(large), keys, "left_semi").distinct(), *keys, value, name="_n")
+    first = staged(numbered.groupBy(*keys).agg(F.min("_n").alias("_first")), "first-numbers")
+    part = F.floor((F.col("_n") - F.col("_first")) / part_size).alias("part")
+    parts = numbered.join(sized(first), keys).select(*keys, part, value)
+    return small_lists.unionByName(parts.repartition(*keys, "part").groupBy(*keys, "part").agg(listed))

@@ -55,6 +55,7 @@ class PageSpec:
 NO_VALUE, NO_USER, NO_TEXT = "Unknown", "Anonymous", "No comment text"
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _HIDDEN = frozenset(("script", "style", "template"))
+_PAGES_AT_ONCE = 256  # pages held as Python objects at a time
 
 
 class _TreeParser(HTMLParser):
@@ -173,8 +174,9 @@ def extract_pages(pages: DataFrame, extractor: Extractor | None = None, spec: Pa
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            ids, htmls = (column.to_pylist() for column in batch.columns)
-            yield pa.RecordBatch.from_pylist([record(*page) for page in zip(ids, htmls)], schema=schema)
+            for start in range(0, batch.num_rows, _PAGES_AT_ONCE):
+                ids, htmls = (column.to_pylist() for column in batch.slice(start, _PAGES_AT_ONCE).columns)
+                yield pa.RecordBatch.from_pylist([record(*page) for page in zip(ids, htmls)], schema=schema)
 
     return pages.select("page_id", "html").mapInArrow(run, PAGE_RECORD)
 

@@ -16,10 +16,16 @@ def message_words(messages: DataFrame, profile: Profile = ASCII) -> DataFrame:
     return text_words(from_messages(messages), "Content", profile)
 
 
-def write_stream(words: DataFrame, checkpoint: str, *sinks: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def _trigger(interval: str | None) -> dict:
+    return {"processingTime": interval} if interval else {"availableNow": True}
+
+
+def write_stream(words: DataFrame, checkpoint: str, *sinks: Callable[[DataFrame, int], None],
+                 interval: str | None = None) -> StreamingQuery:
     """Run every sink on each micro-batch of one query, so the source is read once.
 
-    Processes what is available and ends; start it again to continue from the checkpoint.
+    Without ``interval`` it processes what is available and ends, and continues from the checkpoint when started
+    again; with one, such as ``"1 minute"``, it runs until stopped.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         if len(sinks) > 1:
@@ -30,7 +36,7 @@ def write_stream(words: DataFrame, checkpoint: str, *sinks: Callable[[DataFrame,
 
     return (
         words.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**_trigger(interval)).start()
     )
 
 
@@ -56,17 +62,17 @@ def console_sink(rows: int = 20) -> Callable[[DataFrame, int], None]:
     return lambda batch, batch_id: batch.show(rows)
 
 
-def csv_stream(words: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def csv_stream(words: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Spark's own exactly-once file sink: header CSV, append."""
     return (
         words.writeStream.outputMode("append").format("csv").option("header", True).option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start()
     )
 
 
-def console_stream(words: DataFrame) -> StreamingQuery:
+def console_stream(words: DataFrame, interval: str | None = None) -> StreamingQuery:
     """Spark's own console sink, append and without checkpoint."""
-    return words.writeStream.outputMode("append").format("console").trigger(availableNow=True).start()
+    return words.writeStream.outputMode("append").format("console").trigger(**_trigger(interval)).start()
 
 
 def stream_word_freq(spark: SparkSession, messages: DataFrame, path: str, checkpoint: str) -> DataFrame:
