@@ -36,6 +36,7 @@ def test_id_range_is_half_open(spark):
 
 def test_counts_of_a_repeated_run_are_stored_once(spark):
     path = new_path(spark, "counts")
+    assert files.read_counts(spark, path).count() == 0
     first = files.rows(spark, [("a", 1), ("b", 2)], "word string, frequency bigint")
     second = files.rows(spark, [("b", 5), ("c", 1)], "word string, frequency bigint")
     files.write_counts(first, path, "2024-01-01")

@@ -133,6 +133,9 @@ _LEXICON = (_WORDS, _LABELS)
 _ANSWERS = (_WORDS, _answers("freq"))
 _LABEL_COLUMNS = "batch_id, word, definition, antonym, synonym, pos, sentiment"
 
+_MISSING = """
+missing AS (SELECT word FROM nodes WHERE definition IS NULL AND pos IS NULL)"""
+
 _PAIRS = """
 pairs AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM edges WHERE rel = 'SYNONYM')"""
 _COMPONENTS = """
@@ -294,9 +297,11 @@ SELECT sum(l / m - (l / m) * (l / m)) AS modularity FROM (
   FROM pairs p JOIN components c ON c.word = p.a GROUP BY c.component)"""),
     "words_missing_props": _with(*_LEXICON, _NODES, query="""
 SELECT word FROM nodes WHERE definition IS NULL AND pos IS NULL"""),
-    "repair_lexicon": _with(*_LEXICON, _NODES, """
-missing AS (SELECT word FROM nodes WHERE definition IS NULL AND pos IS NULL)""", _answers("missing"), query="""
+    "repair_lexicon": _with(*_LEXICON, _NODES, _MISSING, _answers("missing"), query="""
 SELECT n.word, CASE WHEN a.word IS NULL THEN n.definition ELSE a.definition END AS definition,
   CASE WHEN a.word IS NULL THEN n.pos ELSE a.pos END AS pos
 FROM nodes n LEFT JOIN answered a ON a.word = n.word AND a.size % 11 <> 0 AND a.size % 13 <> 0"""),
+    "repair_counts": _with(*_LEXICON, _NODES, _MISSING, _answers("missing"), query=f"""
+SELECT CASE WHEN pos = 'bukan kategori' THEN {UNKNOWN} ELSE pos END AS pos, count(*)::BIGINT AS n FROM answered
+WHERE size % 11 <> 0 AND size % 13 <> 0 GROUP BY 1"""),
 }

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from wordloom.functions import text as X
 from wordloom.operators import communities, labelling, lexicon, network, pages, words
 from wordloom.operators.numbering import batches, number_rows
-from wordloom.plans import fixture
+from wordloom.plans import fixture, flows
 from wordloom.plans.fixture import table
 from wordloom.plans.stub import stub_labeller
 from wordloom.sources import files, messages
-from wordloom.sources.workspace import new_path, spread, staged
+from wordloom.sources.workspace import new_path, spread
 from wordloom.streaming import words as streams
 
 # The test pages have a navigation list instead of a forum's byline and comments.
@@ -311,11 +311,12 @@ def words_missing_props(spark, sf_dir):
 
 
 def repair_lexicon(spark, sf_dir):
-    nodes = fixture.nodes(spark, sf_dir)
-    parsed = labelling.label_words(batches(lexicon.words_missing_props(nodes)), stub_labeller,
-                                   lambda answers: staged(answers, "repair-answers"))
-    labels = labelling.valid_labels(parsed).withColumn("seq", F.struct("batch_id", "line_no"))
-    return lexicon.repair_lexicon(nodes, labels)
+    return flows.repair(fixture.nodes(spark, sf_dir), stub_labeller, new_path(spark, "repair"))[0]
+
+
+def repair_counts(spark, sf_dir):
+    """Parts of speech of the labels that the repair brought in."""
+    return lexicon.pos_counts(flows.repair(fixture.nodes(spark, sf_dir), stub_labeller, new_path(spark, "repair"))[1])
 
 
 QUERIES = {
@@ -328,6 +329,6 @@ QUERIES = {
         label_rows_strict, label_rejects, usable_words, valid_labels, lexicon_nodes, lexicon_nodes_keep,
         lexicon_edges, lexicon_coverage, pos_counts, sentiment_counts, word_sentiment, lookup_words, neighbours_out,
         word_profile, neighbour_sets, neighbour_parts, network_edges, network_first_words, components, modularity,
-        themes, words_missing_props, repair_lexicon,
+        themes, words_missing_props, repair_lexicon, repair_counts,
     )
 }

@@ -1,5 +1,6 @@
 """CSV interchange, id ranges and keyed count tables."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ CSV_OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
     """Quoted CSV with header. A file with line breaks in values has one reader, so files are kept small."""
     (
         df.write.mode("overwrite").options(**CSV_OPTIONS)
@@ -49,7 +50,12 @@ def write_counts(df: DataFrame, path: str, run_id: int | str) -> None:
 
 
 def read_counts(spark: SparkSession, path: str, key: str = "word", count: str = "frequency") -> DataFrame:
-    """Counts added up over all stored runs."""
+    """Counts added up over all stored runs; nothing stored yet gives no rows."""
     schema = f"{key} string, {count} bigint, run_id string"
-    stored = spark.read.schema(schema).option("basePath", path).parquet(path)
+    try:
+        stored = spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = rows(spark, [], schema)
     return stored.groupBy(key).agg(F.sum(count).alias(count))
