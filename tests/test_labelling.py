@@ -57,8 +57,8 @@ def test_response_lines_drop_fence_and_header(spark):
     header = L.RESPONSE_HEADER
     answers = rows(spark, [(0, f"```\n{header}\na,b\nc,d\n```"), (1, f"{header} \r\ne,f\n"), (2, "g,h")],
                    "batch_id int, response string")
-    assert [tuple(r) for r in L.response_lines(answers).orderBy("batch_id", "line_no").collect()] == [
-        (0, 0, "a,b"), (0, 1, "c,d"), (1, 0, "e,f"), (2, 0, "g,h")]
+    lines = L.response_lines(answers).orderBy("batch_id", "line_no").select("batch_id", "line")
+    assert [tuple(r) for r in lines.collect()] == [(0, "a,b"), (0, "c,d"), (1, "e,f"), (2, "g,h")]
 
 
 def test_prompts_list_the_words(spark):

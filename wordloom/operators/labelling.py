@@ -56,13 +56,12 @@ def responses(batches: DataFrame, labeller: Labeller, calls_at_once: int | None
 
 
 def response_lines(answers: DataFrame) -> DataFrame:
-    """``(batch_id, line_no, line)`` without code fences and header."""
+    """``(batch_id, line_no, line)`` without code fences and header; line numbers ascend within an answer."""
     bare = F.replace("response", F.lit(FENCE), F.lit(""))
     bare = F.replace(bare, F.lit(RESPONSE_HEADER + "\n"), F.lit(""))
-    lines = F.split(X.strip_text(bare), "\n")
+    lines = answers.select("batch_id", F.posexplode(F.split(X.strip_text(bare), "\n")).alias("line_no", "line"))
     # A header that was not followed by a plain newline is still the first line.
-    lines = F.when(F.get(lines, F.lit(0)).startswith('"word"'), F.slice(lines, 2, F.size(lines))).otherwise(lines)
-    return answers.select("batch_id", F.posexplode(lines).alias("line_no", "line"))
+    return lines.where(~((F.col("line_no") == 0) & F.col("line").startswith('"word"')))
 
 
 def parse_lines(lines: DataFrame, strict: bool = False) -> DataFrame:

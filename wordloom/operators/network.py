@@ -102,12 +102,14 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def modularity(pairs: DataFrame, membership: DataFrame, group: str) -> DataFrame:
     """``(modularity)`` of a partition: sum over groups of L/m - (d/2m)^2."""
-    member = membership.select("word", F.col(group).alias("g"))
-    other = membership.select(F.col("word").alias("other"), F.col(group).alias("og"))
-    # Every edge appears twice, so d counts edge ends and inside counts each inner edge twice.
+    groups = membership.select("word", F.col(group).alias("g"))
+    inner = F.col("ga") == F.col("gb")
+    # Every edge has two ends, so d counts edge ends and inside counts each inner edge twice.
     per_group = (
-        _ends(pairs, "word", "other").join(member, "word").join(other, "other").groupBy("g")
-        .agg(F.count("*").alias("d"), F.count_if(F.col("g") == F.col("og")).alias("inside"))
+        pairs.join(groups.toDF("a", "ga"), "a").join(groups.toDF("b", "gb"), "b")
+        .select(F.inline(F.array(F.struct(F.col("ga").alias("g"), inner.alias("inner")),
+                                 F.struct(F.col("gb").alias("g"), inner.alias("inner")))))
+        .groupBy("g").agg(F.count("*").alias("d"), F.count_if("inner").alias("inside"))
     )
     ends_total = F.sum("d")
     # sum(d)^2 is constant, so one aggregate gives all three sums.
