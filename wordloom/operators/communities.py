@@ -14,8 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordloom.operators.network import Store
 from wordloom.operators.numbering import number_rows
-from wordloom.sources.workspace import staged
+from wordloom.sources.workspace import round_tables, staged
 
 
 def merge_greedily(pairs: list[tuple[str, str]], total: int) -> dict[str, str]:
@@ -90,17 +91,19 @@ def _both_ends(*carried: str) -> Column:
     return F.inline(F.array(end("x", "y"), end("y", "x")))
 
 
-def _big(column) -> Column:
-    return F.col(column).cast("decimal(19,0)") if isinstance(column, str) else column.cast("decimal(19,0)")
+def _big(column: str) -> Column:
+    """Wide enough for products of two edge counts."""
+    return F.col(column).cast("decimal(19,0)")
 
 
-def _merge_round(links: DataFrame, degrees: DataFrame, total: int) -> DataFrame:
+def _merge_round(links: DataFrame, degrees: DataFrame, total: int, store: Store) -> DataFrame:
     """``(x, root)`` for the groups that change in this round; empty when no merge helps.
 
     Every group looks at its best partner; ties are broken by hash, so that along a path of equals many pairs choose
-    each other and not only the first. Such pairs merge, and groups whose choice is in such a pair may join it. Joining is decided per pair on nested subsets of the followers (all, about a half, a quarter, ...):
-    the largest subset under which modularity does not fall joins. Subset sums are aggregates over at most 64
-    levels, so a hub with any number of followers is no problem for one task.
+    each other and not only the first. Such pairs merge, and groups whose choice is in such a pair may join it.
+    Joining is decided per pair on nested subsets of the followers (all, about a half, a quarter, ...): the largest
+    subset under which modularity does not fall joins. Subset sums are aggregates over at most 64 levels, so a hub
+    with any number of followers is no problem for one task.
     """
     dx = degrees.select(F.col("g").alias("x"), F.col("degree").alias("dx"))
     dy = degrees.select(F.col("g").alias("y"), F.col("degree").alias("dy"))
@@ -113,11 +116,11 @@ def _merge_round(links: DataFrame, degrees: DataFrame, total: int) -> DataFrame:
     ends = scored.select(_both_ends("n", "loss"))
     lo, hi = F.least("x", "y"), F.greatest("x", "y")
     order = F.struct("loss", F.xxhash64(lo, hi), lo, hi)
-    best = staged(ends.groupBy("x").agg(F.min_by(F.struct("y", "n"), order).alias("b"))
-                  .select("x", F.col("b.y").alias("y"), F.col("b.n").alias("n")), "best")
+    best = ends.groupBy("x").agg(F.min_by(F.struct("y", "n"), order).alias("b")).select("x", "b.*")
+    best = store(best, "best")
     choice = best.select(F.col("x").alias("y"), F.col("y").alias("back"))
     # Written, so that the next join on the same column shuffles anew and Spark can split a hub's partition.
-    decided = staged(best.join(choice, "y").withColumn("mutual", F.col("back") == F.col("x")), "decided")
+    decided = store(best.join(choice, "y").withColumn("mutual", F.col("back") == F.col("x")), "decided")
     pairs = decided.where("mutual").select("x", F.least("x", "y").alias("root"), "n")
     joined = pairs.select(F.col("x").alias("y"), "root")
     level = F.length(F.regexp_extract(F.bin(F.xxhash64("x")), "0*$", 0))
@@ -136,7 +139,7 @@ def _merge_round(links: DataFrame, degrees: DataFrame, total: int) -> DataFrame:
     running = sums.select("root", "level", *[F.sum(c).over(upto).alias(c) for c in ("n", "d", "d2")])
     loss = (_big("d") * _big("d") - F.col("d2")) / 2 - twice * _big("n")
     accepted = running.where(F.col("level").isNotNull() & (loss <= 0)).groupBy("root").agg(F.min("level").alias("from"))
-    accepted = staged(accepted, "accepted")
+    accepted = store(accepted, "accepted")
     joining = followers.join(accepted, "root").where("level >= from").select("x", "root")
     return pairs.select("x", "root").unionByName(joining)
 
@@ -147,12 +150,13 @@ def merge_in_rounds(pairs: DataFrame, total: int) -> DataFrame:
     The gain and the stopping rule are those of :func:`merge_greedily`; only the order of merges differs, since
     pairs that do not touch merge together. Modularity never falls, and at the end no merge would raise it.
     """
-    links = staged(pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), F.lit(1).cast("bigint").alias("n")), "links")
-    degrees = staged(links.select(_both_ends("n")).groupBy(F.col("x").alias("g"))
-                     .agg(F.sum("n").alias("degree")), "degrees")
+    store = round_tables(pairs.sparkSession)
+    links = store(pairs.toDF("x", "y").withColumn("n", F.lit(1).cast("bigint")), "links")
+    degrees = links.select(_both_ends("n")).groupBy(F.col("x").alias("g")).agg(F.sum("n").alias("degree"))
+    degrees = store(degrees, "degrees")
     groups = degrees.select(F.col("g").alias("word"), F.col("g").alias("theme"))
     while True:
-        moves = staged(_merge_round(links, degrees, total), "moves")
+        moves = store(_merge_round(links, degrees, total, store), "moves")
         if moves.isEmpty():
             break
 
@@ -161,11 +165,11 @@ def merge_in_rounds(pairs: DataFrame, total: int) -> DataFrame:
             return df.join(target, column, "left").withColumn(column, F.coalesce("_root", column)).drop("_root")
 
         contracted = moved(moved(links, "x"), "y").where("x != y")
-        links = staged(contracted.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-                       .agg(F.sum("n").alias("n")), "links")
-        degrees = staged(moved(degrees, "g").groupBy("g").agg(F.sum("degree").alias("degree")), "degrees")
-        groups = staged(moved(groups, "theme"), "groups")
-    names = staged(groups.groupBy("theme").agg(F.min("word").alias("name")), "names")
+        contracted = contracted.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        links = store(contracted.agg(F.sum("n").alias("n")), "links")
+        degrees = store(moved(degrees, "g").groupBy("g").agg(F.sum("degree").alias("degree")), "degrees")
+        groups = store(moved(groups, "theme"), "groups")
+    names = store(groups.groupBy("theme").agg(F.min("word").alias("name")), "names")
     return groups.join(names, "theme").select("word", F.col("name").alias("theme"))
 
 
@@ -181,12 +185,13 @@ def themes(pairs: DataFrame, components: DataFrame, task_pairs: int = 500_000) -
 
     small = tagged
     if widest > task_pairs:
-        large = sizes.where(F.col("n") > task_pairs).select("component")
+        # At most one row per task_pairs edges.
+        large = staged(sizes.where(F.col("n") > task_pairs).select("component"), "large-components")
         small = tagged.join(large, "component", "left_anti")
     by_component = small.select("component", "a", "b").repartition("component").sortWithinPartitions("component")
     grouped = by_component.mapInArrow(_themes_by_component(total), "word string, theme string")
     if widest > task_pairs:
-        grouped = grouped.unionByName(merge_in_rounds(tagged.join(large, "component", "left_semi"), total))
+        grouped = grouped.unionByName(merge_in_rounds(tagged.join(large, "component", "left_semi").select("a", "b"), total))
     grouped = staged(grouped, "themes")
     ranked = number_rows(grouped.groupBy("theme").agg(F.count("*").alias("n")), F.desc("n"), "theme", name="rank")
     return grouped.join(ranked, "theme").select((F.col("rank") - 1).alias("theme_id"), "theme", "word")

@@ -1,10 +1,12 @@
 """Synonym and antonym networks as edge tables."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.operators.numbering import collect_in_parts, number_rows
-from wordloom.sources.workspace import staged
+from wordloom.sources.workspace import round_tables, staged
 
 
 def both_ways(edges: DataFrame, rel: str) -> DataFrame:
@@ -49,17 +51,20 @@ def _ends(pairs: DataFrame, x: str, y: str) -> DataFrame:
         F.struct(F.col("a").alias(x), F.col("b").alias(y)), F.struct(F.col("b").alias(x), F.col("a").alias(y)))))
 
 
-def _large_star(pairs: DataFrame) -> DataFrame:
+Store = Callable[[DataFrame, str], DataFrame]
+
+
+def _large_star(pairs: DataFrame, store: Store) -> DataFrame:
     """Link every larger neighbour of a node to the smallest among the node and its neighbours."""
     around = _ends(pairs, "u", "v")
     smallest = around.groupBy("u").agg(F.min("v").alias("_min")).select("u", F.least("u", "_min").alias("m"))
-    smallest = staged(smallest, "smallest")
+    smallest = store(smallest, "smallest")
     return around.where("v > u").join(smallest, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
 
 
-def _small_star(pairs: DataFrame) -> DataFrame:
+def _small_star(pairs: DataFrame, store: Store) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them; pairs are ``a < b``."""
-    smallest = staged(pairs.groupBy("b").agg(F.min("a").alias("m")), "smallest")
+    smallest = store(pairs.groupBy("b").agg(F.min("a").alias("m")), "smallest")
     linked = pairs.join(smallest, "b").select(F.col("m").alias("a"), F.col("a").alias("b")).where("a != b")
     return linked.unionByName(smallest.select(F.col("m").alias("a"), "b")).distinct()
 
@@ -89,9 +94,11 @@ def components(pairs: DataFrame) -> DataFrame:
         return ids.select(F.col("word").alias(column), F.col("id").alias(f"{column}_id"))
 
     numbered = pairs.where("a != b").join(id_of("a"), "a").join(id_of("b"), "b")
-    stars = staged(numbered.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")), "stars")
+    store = round_tables(pairs.sparkSession)
+    stars = store(numbered.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")), "stars")
     while True:
-        stars = staged(_small_star(staged(_large_star(stars), "stars")), "stars")
+        stars = store(_large_star(stars, store), "stars")
+        stars = store(_small_star(stars, store), "stars")
         if _are_stars(stars):
             break
     centres = stars.select(F.col("a").alias("id"), F.col("a").alias("centre")).distinct()

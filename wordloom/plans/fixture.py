@@ -4,21 +4,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom.operators import labelling, lexicon, network, words
 from wordloom.operators.numbering import batches, number_rows
 from wordloom.plans.stub import stub_labeller
-from wordloom.sources.workspace import spread, staged
+from wordloom.sources.workspace import new_path, spread, written
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
+_stored: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The stage table ``name`` for this session and input folder, built on first use."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        _stored[key] = staged(build(), name)
-    return _stored[key]
+        path = new_path(spark, name)
+        _stored[key] = path, written(build(), path).schema
+    path, schema = _stored[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

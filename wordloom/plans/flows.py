@@ -10,17 +10,13 @@ from pyspark.sql import functions as F
 from wordloom.operators import labelling, lexicon, pages, words
 from wordloom.operators.labelling import Labeller
 from wordloom.operators.numbering import batches
-
-
-def _table(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from wordloom.sources.workspace import written
 
 
 def collect_articles(stored_pages: DataFrame, path: str, extractor: pages.Extractor | None = None,
                      spec: pages.PageSpec = pages.PageSpec()) -> tuple[DataFrame, DataFrame]:
     """Pages ``(page_id, html)`` to articles and comments; the pages are parsed once for both."""
-    records = _table(pages.extract_pages(stored_pages, extractor, spec), f"{path}/records")
+    records = written(pages.extract_pages(stored_pages, extractor, spec), f"{path}/records")
     return pages.articles(records), pages.comments(records)
 
 
@@ -30,7 +26,7 @@ def build_vocabulary(articles: DataFrame, comments: DataFrame | None, streamed:
     found = words.article_words(articles, comments)
     if streamed is not None:
         found = words.union_words(found, streamed.select("word"))
-    return _table(words.word_freq(words.clean_tokens(found)), f"{path}/word_freq")
+    return written(words.word_freq(words.clean_tokens(found)), f"{path}/word_freq")
 
 
 def label_words(vocabulary: DataFrame, labeller: Labeller, path: str, batch_size: int = 80, strict: bool = False,
@@ -40,8 +36,8 @@ def label_words(vocabulary: DataFrame, labeller: Labeller, path: str, batch_size
     ``seq`` of a label is its batch and line, which is the order in which labels overwrite each other.
     """
     parsed = labelling.label_words(batches(vocabulary, batch_size), labeller,
-                                   lambda answers: _table(answers, f"{path}/answers"), strict, calls_at_once)
-    checked = _table(labelling.checked_labels(parsed), f"{path}/checked")
+                                   lambda answers: written(answers, f"{path}/answers"), strict, calls_at_once)
+    checked = written(labelling.checked_labels(parsed), f"{path}/checked")
     checked = checked.withColumn("seq", F.struct("batch_id", "line_no"))
     labels = checked.where("reason IS NULL").select("seq", *labelling.LABEL_FIELDS)
     return labels, checked.where("reason IS NOT NULL").select("seq", "line", "reason")
@@ -51,11 +47,11 @@ def enrich(labels: DataFrame, path: str) -> dict[str, DataFrame]:
     """The lexicon tables of the usable labels."""
     usable = labelling.usable_words(labels)
     return {
-        "nodes": _table(lexicon.lexicon_nodes(usable), f"{path}/nodes"),
-        "edges": _table(lexicon.lexicon_edges(usable), f"{path}/edges"),
-        "pos_counts": _table(lexicon.pos_counts(usable), f"{path}/pos_counts"),
-        "sentiment_counts": _table(lexicon.sentiment_counts(usable), f"{path}/sentiment_counts"),
-        "word_sentiment": _table(lexicon.word_sentiment(usable), f"{path}/word_sentiment"),
+        "nodes": written(lexicon.lexicon_nodes(usable), f"{path}/nodes"),
+        "edges": written(lexicon.lexicon_edges(usable), f"{path}/edges"),
+        "pos_counts": written(lexicon.pos_counts(usable), f"{path}/pos_counts"),
+        "sentiment_counts": written(lexicon.sentiment_counts(usable), f"{path}/sentiment_counts"),
+        "word_sentiment": written(lexicon.word_sentiment(usable), f"{path}/word_sentiment"),
     }
 
 

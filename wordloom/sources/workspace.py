@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,15 +26,33 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wordloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path``, replacing what is there, and read it back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where a result is needed more than once or must not be recomputed differently. Unlike a cache it
     outlives lost executors, and later plans see its real size.
     """
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, new_path(df.sparkSession, name))
+
+
+def round_tables(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame]:
+    """Like :func:`staged`, for loops in which each result depends on the one before.
+
+    The results of one name go to two folders in turn, so that a loop of any length keeps two of them.
+    """
+    base, turns = new_path(spark, "rounds"), Counter()
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        turns[name] += 1
+        return written(df, f"{base}/{name}-{turns[name] % 2}")
+
+    return store
 
 
 def spread(df: DataFrame) -> DataFrame:
