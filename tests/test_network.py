@@ -83,12 +83,12 @@ def test_network_is_simple_and_undirected(spark):
     assert rows_of(N.network_edges(edges, "SYNONYM")) == [("a", "b"), ("b", "c")]
 
 
-@pytest.mark.parametrize("pairs", [
-    random_graph(1, 60, 45) + [("c", "c"), ("b", "a"), ("a", "b")],
-    [(f"w{i + 1:03d}", f"w{i:03d}") for i in range(60)] + [("z", f"x{i:03d}") for i in range(50)],
+@pytest.mark.parametrize("pairs, split_hubs_from", [
+    (random_graph(1, 60, 45) + [("c", "c"), ("b", "a"), ("a", "b")], 1000),
+    ([(f"w{i + 1:03d}", f"w{i:03d}") for i in range(60)] + [("z", f"x{i:03d}") for i in range(50)], 1),
 ])
-def test_components_equal_union_find(spark, pairs):
-    assert rows_of(N.components(pair_table(spark, pairs))) == union_find([pair for pair in pairs if pair[0] != pair[1]])
+def test_components_equal_union_find(spark, pairs, split_hubs_from):
+    assert rows_of(N.components(pair_table(spark, pairs), split_hubs_from)) == union_find([pair for pair in pairs if pair[0] != pair[1]])
 
 
 def test_modularity(spark):

@@ -55,9 +55,8 @@ def text_words(text, profile: Profile = UNICODE) -> Column:
     """
     base = F.lower(text) if profile.lower else F.col(text) if isinstance(text, str) else text
     kept = F.regexp_replace(base, profile.drop, "")
-    extra = profile.separators.replace(" ", "")
-    if extra:
-        kept = F.translate(kept, extra, " " * len(extra))
+    for separator in profile.separators.replace(" ", ""):
+        kept = F.replace(kept, F.lit(separator), F.lit(" "))
     return F.split(kept, " ")
 
 

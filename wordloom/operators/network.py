@@ -77,15 +77,15 @@ def _are_stars(pairs: DataFrame) -> bool:
     return counts.where((F.col("ups") > 1) | ((F.col("ups") == 1) & (F.col("centre") == 0))).isEmpty()
 
 
-def components(pairs: DataFrame) -> DataFrame:
+def components(pairs: DataFrame, split_hubs_from: int = 10_000_000) -> DataFrame:
     """``(word, component)`` for undirected pairs ``(a, b)``; a component is named by its smallest word.
 
     Alternating large-star and small-star steps: the number of rounds grows with the logarithm of the longest
     path, and a hub costs one minimum per round instead of a list of its neighbours. The rounds work on dense word
     numbers, which keep the order of the words and make for short shuffle rows and hash aggregation. Every step is
-    written to the shared folder, so a lost executor never sets a round back and no plan grows with the rounds. The
-    minima are written too: joined straight from their aggregation they would keep its partitions, and Spark splits
-    the partition of a hub only where the join shuffles both sides itself.
+    written to the shared folder, so a lost executor never sets a round back and no plan grows with the rounds. From
+    ``split_hubs_from`` edges the minima are written too: joined straight from their aggregation they would keep its
+    partitions, and Spark splits the partition of a hub only where the join shuffles both sides itself.
     """
     words = pairs.where("a != b").select(F.explode(F.array("a", "b")).alias("word")).distinct()
     ids = staged(number_rows(words, "word", name="id"), "ids")
@@ -96,9 +96,10 @@ def components(pairs: DataFrame) -> DataFrame:
     numbered = pairs.where("a != b").join(id_of("a"), "a").join(id_of("b"), "b")
     store = round_tables(pairs.sparkSession)
     stars = store(numbered.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")), "stars")
+    minima = store if stars.count() >= split_hubs_from else lambda df, name: df
     while True:
-        stars = store(_large_star(stars, store), "stars")
-        stars = store(_small_star(stars, store), "stars")
+        stars = store(_large_star(stars, minima), "stars")
+        stars = store(_small_star(stars, minima), "stars")
         if _are_stars(stars):
             break
     centres = stars.select(F.col("a").alias("id"), F.col("a").alias("centre")).distinct()

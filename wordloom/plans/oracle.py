@@ -292,7 +292,7 @@ WHERE word IN (SELECT DISTINCT word FROM linked ORDER BY word LIMIT 20)"""),
     "components": _with(*_LEXICON, _EDGES, _PAIRS, _COMPONENTS, recursive=True, query="""
 SELECT word, component FROM components"""),
     "modularity": _with(*_LEXICON, _EDGES, _PAIRS, _COMPONENTS, recursive=True, query="""
-SELECT sum(l / m - (l / m) * (l / m)) AS modularity FROM (
+SELECT round(sum(l / m - (l / m) * (l / m)), 9) AS modularity FROM (
   SELECT CAST(count(*) AS DOUBLE) AS l, CAST((SELECT count(*) FROM pairs) AS DOUBLE) AS m
   FROM pairs p JOIN components c ON c.word = p.a GROUP BY c.component)"""),
     "words_missing_props": _with(*_LEXICON, _NODES, query="""

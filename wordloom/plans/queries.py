@@ -299,7 +299,8 @@ def _synonym_components(spark, sf_dir):
 
 
 def modularity(spark, sf_dir):
-    return network.modularity(fixture.synonym_pairs(spark, sf_dir), _synonym_components(spark, sf_dir), "component")
+    found = network.modularity(fixture.synonym_pairs(spark, sf_dir), _synonym_components(spark, sf_dir), "component")
+    return found.select(F.round("modularity", 9).alias("modularity"))
 
 
 def themes(spark, sf_dir):

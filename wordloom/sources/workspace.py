@@ -58,7 +58,8 @@ def round_tables(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame]:
 def spread(df: DataFrame) -> DataFrame:
     """Give a table with fewer input splits than cores to all cores before CPU-heavy text work.
 
-    Large tables already have more splits than cores and pass through without a shuffle.
+    Large tables already have more splits than cores and pass through without a shuffle. Meant for scans: the
+    number of partitions of a plan with shuffles is only known by running them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
