@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.operators.numbering import collect_in_parts, number_rows
-from wordloom.sources.workspace import round_tables, staged
+from wordloom.operators.numbering import collect_in_parts, ordered_ids
+from wordloom.sources.workspace import round_tables
 
 
 def both_ways(edges: DataFrame, rel: str) -> DataFrame:
@@ -81,14 +81,14 @@ def components(pairs: DataFrame, split_hubs_from: int = 10_000_000) -> DataFrame
     """``(word, component)`` for undirected pairs ``(a, b)``; a component is named by its smallest word.
 
     Alternating large-star and small-star steps: the number of rounds grows with the logarithm of the longest
-    path, and a hub costs one minimum per round instead of a list of its neighbours. The rounds work on dense word
-    numbers, which keep the order of the words and make for short shuffle rows and hash aggregation. Every step is
+    path, and a hub costs one minimum per round instead of a list of its neighbours. The rounds work on
+    numbers that keep the order of the words and make for short shuffle rows and hash aggregation. Every step is
     written to the shared folder, so a lost executor never sets a round back and no plan grows with the rounds. From
     ``split_hubs_from`` edges the minima are written too: joined straight from their aggregation they would keep its
     partitions, and Spark splits the partition of a hub only where the join shuffles both sides itself.
     """
     words = pairs.where("a != b").select(F.explode(F.array("a", "b")).alias("word")).distinct()
-    ids = staged(number_rows(words, "word", name="id"), "ids")
+    ids = ordered_ids(words, "word")
 
     def id_of(column: str) -> DataFrame:
         return ids.select(F.col("word").alias(column), F.col("id").alias(f"{column}_id"))

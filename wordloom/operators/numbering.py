@@ -8,14 +8,22 @@ from wordloom.sources.workspace import staged
 _ROW_BITS = 33  # fixed value: monotonically_increasing_id keeps the row index in its low 33 bits
 
 
+def ordered_ids(df: DataFrame, *order_by, name: str = "id") -> DataFrame:
+    """Unique ids that follow the order given by ``order_by``, a unique key, but have gaps.
+
+    The rows are range-partitioned and sorted by Spark and written once, so that the ids cannot shift when a task is
+    repeated.
+    """
+    return staged(df.sort(*order_by).withColumn(name, F.monotonically_increasing_id()), "ordered")
+
+
 def number_rows(df: DataFrame, *order_by, name: str = "row_number") -> DataFrame:
     """Consecutive numbers from 1 in the order given by ``order_by``, which must be a unique key.
 
-    The rows are range-partitioned and sorted by Spark and written once, so that the numbers cannot shift when
-    a task is repeated. Each partition's offset comes from a table with one row per sort partition; that bound
-    is what makes the window over it and its broadcast safe.
+    Each sort partition's offset is added to the row's place in it. The table of offsets has one row per sort
+    partition; that bound is what makes the window over it and its broadcast safe.
     """
-    ordered = staged(df.sort(*order_by).withColumn("_id", F.monotonically_increasing_id()), "ordered")
+    ordered = ordered_ids(df, *order_by, name="_id")
     part = F.shiftright("_id", _ROW_BITS)
     sizes = ordered.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
