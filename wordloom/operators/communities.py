@@ -23,8 +23,11 @@ def merge_greedily(pairs: list[tuple[str, str]], total: int) -> dict[str, str]:
     """Word -> smallest word of its group, for the edges of one component.
 
     Always merges the linked pair of groups with the largest gain until every gain is negative. Ties go to the pair
-    whose largest members come first. Queue entries may be outdated, but only ever too hopeful: a group's degree and
-    largest member never shrink, so an entry is corrected when it comes up instead of at every merge.
+    whose largest members come first.
+
+    A pair lies on a shelf of its group of higher degree, by number of links. On a shelf the best partner is the one
+    with the lowest degree whatever the owner's degree is, so a hub's growth touches one queue entry per shelf. Degrees
+    and largest members only grow, so an outdated entry is never too low in rank and is corrected when it comes up.
     """
     links: dict[str, dict[str, int]] = defaultdict(dict)
     for a, b in pairs:
@@ -32,23 +35,47 @@ def merge_greedily(pairs: list[tuple[str, str]], total: int) -> dict[str, str]:
     degree = {word: len(others) for word, others in links.items()}
     largest = {word: word for word in links}
     members = {word: [word] for word in links}
+    shelves: dict[tuple[str, int], list[tuple[int, str, str]]] = defaultdict(list)
+    queue: list[tuple] = []
+    listed: dict[tuple[str, int], tuple] = {}
+
+    def enlist(owner: str, count: int) -> None:
+        partner_degree, partner_largest, _ = shelves[owner, count][0]
+        cost = degree[owner] * partner_degree - 2 * total * count
+        entry = (cost, *sorted((largest[owner], partner_largest)), owner, count)
+        if (owner, count) not in listed or entry < listed[owner, count]:
+            listed[owner, count] = entry
+            heapq.heappush(queue, entry)
+
+    def offer(x: str, y: str) -> None:
+        owner, partner = (x, y) if degree[x] >= degree[y] else (y, x)
+        shelf = owner, links[x][y]
+        heapq.heappush(shelves[shelf], (degree[partner], largest[partner], partner))
+        enlist(*shelf)
 
-    def entry(x: str, y: str) -> tuple:
-        lo, hi = sorted((largest[x], largest[y]))
-        return degree[x] * degree[y] - 2 * total * links[x][y], lo, hi, x, y
-
-    queue = [entry(a, b) for a, b in pairs]
-    heapq.heapify(queue)
+    for a, b in pairs:
+        offer(a, b)
     while queue:
         top = heapq.heappop(queue)
         if top[0] > 0:
             break
-        x, y = top[3:]
-        if x not in links or y not in links[x]:
+        x, count = top[3:]
+        if x not in links or listed.get((x, count)) != top:
+            continue
+        del listed[x, count]
+        shelf = shelves[x, count]
+        while shelf:
+            y = shelf[0][2]
+            if links[x].get(y) != count:
+                heapq.heappop(shelf)
+            elif shelf[0] != (degree[y], largest[y], y):
+                heapq.heapreplace(shelf, (degree[y], largest[y], y))
+            else:
+                break
+        if not shelf:
             continue
-        current = entry(x, y)
-        if current[:3] != top[:3]:
-            heapq.heappush(queue, current)
+        enlist(x, count)
+        if listed[x, count] != top:
             continue
         if len(links[x]) < len(links[y]):
             x, y = y, x
@@ -56,13 +83,12 @@ def merge_greedily(pairs: list[tuple[str, str]], total: int) -> dict[str, str]:
         largest[x] = max(largest[x], largest.pop(y))
         members[x] += members.pop(y)
         del links[x][y]
-        for other, count in links.pop(y).items():
-            if other == x:
-                continue
-            del links[other][y]
-            links[x][other] = links[other][x] = links[x].get(other, 0) + count
-            heapq.heappush(queue, entry(x, other))
-    return {word: min(group) for group in members.values() for word in group}
+        for other, linked in links.pop(y).items():
+            if other != x:
+                del links[other][y]
+                links[x][other] = links[other][x] = links[x].get(other, 0) + linked
+                offer(x, other)
+    return {word: name for name, group in ((min(group), group) for group in members.values()) for word in group}
 
 
 def _themes_by_component(total: int):
