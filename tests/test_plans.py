@@ -92,7 +92,7 @@ def test_results_with_a_hub_are_whole(spark, small_thresholds, hub_edges):
     assert lists.where("src = 'hub'").count() == 20
     assert lists.agg(F.max(F.size("values"))).first()[0] == 1000
     pairs = hub_edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-    parts = network.components(pairs, split_hubs_from=1).groupBy("component").agg(F.count("*").alias("n"))
+    parts = network.components(pairs).groupBy("component").agg(F.count("*").alias("n"))
     assert parts.orderBy(F.desc("n")).first().n == 20_001
     hub = spark.createDataFrame([("hub",), ("none",)], "word string")
     empty = spark.createDataFrame([], "word string, frequency bigint")

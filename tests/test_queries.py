@@ -28,7 +28,7 @@ def canonical(columns, rows):
     return sorted(columns), sorted((tuple(value(row[i]) for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry_point.ORACLE))
 def test_query_equals_sql(spark, duck, name):
     result = entry_point.queries()[name](spark, SF)
     cursor = duck.execute(entry_point.oracle_sql()[name])
@@ -51,7 +51,7 @@ def test_themes_refine_the_components_and_raise_modularity(spark):
 
 
 def test_every_query_but_themes_has_sql():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == {"themes"}
+    assert set(entry_point.QUERIES) - set(entry_point.ORACLE) == {"themes"}
 
 
 def test_entry(spark):

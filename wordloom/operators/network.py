@@ -77,15 +77,30 @@ def _are_stars(pairs: DataFrame) -> bool:
     return counts.where((F.col("ups") > 1) | ((F.col("ups") == 1) & (F.col("centre") == 0))).isEmpty()
 
 
-def components(pairs: DataFrame, split_hubs_from: int = 10_000_000) -> DataFrame:
-    """``(word, component)`` for undirected pairs ``(a, b)``; a component is named by its smallest word.
+def star_links(pairs: DataFrame) -> DataFrame:
+    """``(id, centre)`` of every number in undirected pairs ``(a, b)`` of numbers; the centre is the smallest reachable.
 
     Alternating large-star and small-star steps: the number of rounds grows with the logarithm of the longest
-    path, and a hub costs one minimum per round instead of a list of its neighbours. The rounds work on
-    numbers that keep the order of the words and make for short shuffle rows and hash aggregation. Every step is
-    written to the shared folder, so a lost executor never sets a round back and no plan grows with the rounds. From
-    ``split_hubs_from`` edges the minima are written too: joined straight from their aggregation they would keep its
-    partitions, and Spark splits the partition of a hub only where the join shuffles both sides itself.
+    path, and a hub costs one minimum per round instead of a list of its neighbours. Every step and its minima are
+    written to the shared folder, so a lost executor never sets a round back, no plan grows with the rounds, and the
+    joins shuffle both sides themselves, which is what lets Spark split the partition of a hub.
+    """
+    store = round_tables(pairs.sparkSession)
+    stars = store(pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "stars")
+    while True:
+        stars = store(_large_star(stars, store), "stars")
+        stars = store(_small_star(stars, store), "stars")
+        if _are_stars(stars):
+            break
+    centres = stars.select(F.col("a").alias("id"), F.col("a").alias("centre")).distinct()
+    return stars.select(F.col("b").alias("id"), F.col("a").alias("centre")).unionByName(centres)
+
+
+def components(pairs: DataFrame) -> DataFrame:
+    """``(word, component)`` for undirected pairs ``(a, b)``; a component is named by its smallest word.
+
+    The rounds of :func:`star_links` work on numbers that keep the order of the words and make for short shuffle rows
+    and hash aggregation.
     """
     words = pairs.where("a != b").select(F.explode(F.array("a", "b")).alias("word")).distinct()
     ids = ordered_ids(words, "word")
@@ -94,16 +109,7 @@ def components(pairs: DataFrame, split_hubs_from: int = 10_000_000) -> DataFrame
         return ids.select(F.col("word").alias(column), F.col("id").alias(f"{column}_id"))
 
     numbered = pairs.where("a != b").join(id_of("a"), "a").join(id_of("b"), "b")
-    store = round_tables(pairs.sparkSession)
-    stars = store(numbered.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")), "stars")
-    minima = store if stars.count() >= split_hubs_from else lambda df, name: df
-    while True:
-        stars = store(_large_star(stars, minima), "stars")
-        stars = store(_small_star(stars, minima), "stars")
-        if _are_stars(stars):
-            break
-    centres = stars.select(F.col("a").alias("id"), F.col("a").alias("centre")).distinct()
-    linked = stars.select(F.col("b").alias("id"), F.col("a").alias("centre")).unionByName(centres)
+    linked = star_links(numbered.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")))
     names = ids.select(F.col("id").alias("centre"), F.col("word").alias("component"))
     return linked.join(ids, "id").join(names, "centre").select("word", "component")
 
