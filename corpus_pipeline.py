@@ -2,10 +2,15 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import rules, simhash
+from wordloom.llm import cotraining, packing, rules, secrets, simhash
 from wordloom.sources.workspace import staged
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier takes for good, learnt from the labels beside the documents."""
+    return cotraining.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules' label model takes for good."""
     return rules.good_documents(docs)
@@ -16,9 +21,22 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.without_near_duplicates(docs, width=4, distance=4)
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; secrets in their texts are replaced by a mark."""
+    return secrets.redacted(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2,048 tokens."""
+    return packing.pack(docs, capacity=2048)
+
+
 STAGES = [
+    ("quality_classifier", quality_classifier),
     ("quality_rules", quality_rules),
     ("simhash_dedup", simhash_dedup),
+    ("secret_scan", secret_scan),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 #: The stages learn models and follow links, which SQL cannot state; tests compare each with brute force.

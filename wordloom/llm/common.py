@@ -3,8 +3,9 @@
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,6 +73,36 @@ def map_batches(df: DataFrame, work: Callable, fields: str, keep: list[str] | No
     return df.mapInArrow(run, schema)
 
 
-def remainder(id_column, modulus: int):
+def grouped_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """Batches by runs of a column, as they come."""
+    def cut():
+        for batch in batches:
+            values = batch.column(batch.schema.get_field_index(column)).to_numpy()
+            starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else []
+            for a, b in zip(starts, np.append(starts[1:], len(values)) if len(values) else []):
+                yield int(values[a]), batch.slice(int(a), int(b - a))
+
+    pieces = cut()
+    piece = next(pieces, None)
+    while piece is not None:
+        key = piece[0]
+
+        def same():
+            nonlocal piece
+            while piece is not None and piece[0] == key:
+                yield piece[1]
+                piece = next(pieces, None)
+
+        yield key, same()
+        while piece is not None and piece[0] == key:
+            piece = next(pieces, None)
+
+
+def quoted(name: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def remainder(id_column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null for a null id."""
     return F.crc32(F.col(id_column).cast("string")) % modulus

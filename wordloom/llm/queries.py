@@ -4,16 +4,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import bpe, language, pii, rules, simhash
+from wordloom.llm import bpe, cotraining, hnsw, language, lm, packing, pii, rules, secrets, simhash
 from wordloom.llm.common import table
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``spans`` are start:end of the secrets, comma-joined; ``top_probability`` is null without a candidate."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = secrets.scan(documents, keep={"doc_id": "doc_id"})
+    spans = F.transform("secrets", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return found.select(
+        "doc_id", F.size("candidates").cast("bigint").alias("n_candidates"), F.size("secrets").cast("bigint").alias("n_secrets"),
+        F.array_join(spans, ",").alias("spans"), F.array_max("candidates.probability").alias("top_probability"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.judged(documents, keep=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, distance=4)
 
@@ -29,17 +47,26 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str, vocabulary: str | None = Non
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.digest(pii.personal_data(documents, keep=["doc_id"]))
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_quality_rules, op5_simhash_dedup, op6_bpe_codec, op8_language_id, op10_personal_data)}
+    op1_embedding_dedup, op2_secret_scan, op3_quality_rules, op4_quality_classifier, op5_simhash_dedup, op6_bpe_codec,
+    op7_class_lm, op8_language_id, op9_best_fit_packing, op10_personal_data)}
 
 #: Queries whose rows SQL can state. The others are compared with brute force in the tests.
 ORACLE: dict[str, str] = {}
