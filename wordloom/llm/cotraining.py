@@ -9,6 +9,7 @@ labelled documents that no training sees calibrates each view, and the calibrate
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ def _shape(word: bytes) -> bytes:
 
 
 class TextView:
-    """Hashed words and word shapes of a text, as shares of its words; lines that repeat an earlier one."""
+    """Hashed words and word shapes of a text; words that repeat the one before, lines that repeat an earlier one."""
 
     def __init__(self, spec: Spec):
         self.half, self.known = spec.text_buckets // 2, {}
@@ -62,14 +63,16 @@ class TextView:
         if found is None:
             if len(self.known) > _WORDS_KEPT:
                 self.known.clear()
-            found = self.known[word] = (zlib.crc32(word.lower()) % self.half, self.half + zlib.crc32(_shape(word)) % (self.half - 2))
+            found = self.known[word] = (zlib.crc32(word.lower()) % self.half, self.half + zlib.crc32(_shape(word)) % (self.half - 4))
         return found
 
     def __call__(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         """``(bucket, n)``; empty for texts without words."""
         counts: Counter = Counter()
+        again = 0
         for words in word_blocks(text):
             counts.update(words)
+            again += sum(map(eq, words, words[1:]))
         if not counts:
             return np.zeros(0, np.int32), np.zeros(0, np.int32)
         lines = Counter(line for line in text.split(b"\n") if line and not line.isspace())
@@ -78,10 +81,10 @@ class TextView:
         n = np.fromiter(counts.values(), np.int64, len(counts))
         sums = np.bincount(pairs.reshape(-1), weights=np.repeat(n, 2))
         buckets = np.flatnonzero(sums)
-        # Each line counts like a word of its own kind, so that the share of repeated lines is a feature too.
-        buckets = np.concatenate([buckets, [2 * self.half - 2, 2 * self.half - 1]])
-        extra = [repeats, sum(lines.values()) - repeats]
-        return buckets.astype(np.int32), np.concatenate([sums[buckets[:-2]], extra]).astype(np.int32)
+        # The last four buckets: words and lines that repeat and that do not, so that the shares are features too.
+        extra = [again, int(n.sum()) - again, repeats, sum(lines.values()) - repeats]
+        return (np.concatenate([buckets, np.arange(2 * self.half - 4, 2 * self.half)]).astype(np.int32),
+                np.concatenate([sums[buckets], extra]).astype(np.int32))
 
 
 def meta_places(source: str | None, lang: str | None, n_chars: int | None, spec: Spec) -> list[int]:

@@ -154,10 +154,10 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rules: int, prior_good: float
     return model
 
 
-def pattern_counts(voted: DataFrame, column: str = "_votes") -> tuple[np.ndarray, np.ndarray]:
+def pattern_counts(numbers: DataFrame, rules: list[Rule]) -> tuple[np.ndarray, np.ndarray]:
     """All vote patterns and how many documents have each: at most 3 ^ rules rows, whatever the number of documents."""
-    rows = voted.groupBy(column).count().orderBy(column).collect()
-    return np.array([r[0] for r in rows], np.int64).reshape(len(rows), -1), np.array([r[1] for r in rows], np.float64)
+    rows = numbers.groupBy(votes(rules).alias("votes")).count().orderBy("votes").collect()
+    return np.array([r[0] for r in rows], np.int64).reshape(-1, len(rules)), np.array([r[1] for r in rows], np.float64)
 
 
 def judged(docs: DataFrame, rules: list[Rule] = RULES, threshold: float = 0.5, text: str = "text",
@@ -178,7 +178,7 @@ def judged(docs: DataFrame, rules: list[Rule] = RULES, threshold: float = 0.5, t
     numbers = with_stats(docs, text, keep if narrow else [])
     if narrow:
         numbers = staged(numbers, "rule-numbers")
-    patterns, counts = pattern_counts(numbers.select(votes(rules).alias("_votes")))
+    patterns, counts = pattern_counts(numbers, rules)
     model = fit(patterns, counts, len(rules))
     return verdicts(numbers if narrow else with_stats(docs, text, keep), model, rules, threshold)
 
