@@ -102,9 +102,12 @@ _DIGIT = re.compile(r"[0-9]")
 
 
 def contexts(text: str, start: int, end: int) -> list[str]:
-    """The lexical patterns around a span: two words before it; a word before and after; two words before and one after."""
-    left = _DIGIT.sub("0", text[max(0, start - _REACH):start].lower()).split()
-    right = _DIGIT.sub("0", text[end:end + _REACH].lower()).split()
+    """The lexical patterns around a span: two words before it; a word before and after; two words before and one after.
+
+    Marks right beside the span belong to neither.
+    """
+    left = _DIGIT.sub("0", text[max(0, start - _REACH):start].rstrip(_TRIMMED).lower()).split()
+    right = _DIGIT.sub("0", text[end:end + _REACH].lstrip(_TRIMMED).lower()).split()
     after = right[0] if right else "$"
     before = left[-2:]
     if len(before) < 2:
