@@ -168,8 +168,8 @@ def merge_words(words: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray,
     return symbol[alive], np.bincount(owner[alive], minlength=len(words))
 
 
-_KEPT = 300_000
-_CHARS_AT_ONCE = 8 << 20
+_KEPT = 200_000
+_CHARS_AT_ONCE = 2 << 20
 
 #: White space to Python, but not to the patterns of vocabulary files.
 _SEPARATORS = regex.compile(r"[\x1c-\x1f]")
