@@ -25,7 +25,14 @@ def test_from_pages_to_a_repaired_lexicon(spark):
     assert {row.src for row in tables["edges"].collect()} | {row.dst for row in tables["edges"].collect()} <= names
     missing = lexicon.words_missing_props(tables["nodes"]).count()
     assert missing > 0
-    repaired, found = flows.repair(tables["nodes"], stub_labeller, new_path(spark, "repair"))
+    before = {name: rows_of(tables[name]) for name in ("pos_counts", "sentiment_counts", "word_sentiment")}
+    for _ in range(2):  # a rerun adds nothing to the counters
+        repaired, found = flows.repair(tables["nodes"], stub_labeller, new_path(spark, "repair"), counter_path=path)
+        after = flows.counters(spark, path)
+        assert sum(n for _, n in rows_of(after["pos_counts"])) == sum(n for _, n in before["pos_counts"]) + found.count()
+        assert sum(n for _, n in rows_of(after["sentiment_counts"])) == sum(n for _, n in before["sentiment_counts"]) + found.count()
+        sentiments = dict(before["word_sentiment"]) | {r.word: r.sentiment for r in found.collect()}
+        assert dict(rows_of(after["word_sentiment"])) == sentiments
     assert lexicon.words_missing_props(repaired).count() == missing - found.count()
     assert repaired.count() == tables["nodes"].count()
 

@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
-from wordloom.functions import html as H
 from wordloom.operators import pages as P
 
 FORUM = """<html><head><title> A &amp; B </title></head><body>
@@ -44,16 +43,46 @@ def test_absent_tags_get_defaults_and_empty_tags_do_not(spark):
     assert P.comments(records).count() == 0
 
 
-def test_unreadable_page_is_a_null_row(spark):
+def test_unreadable_pages_keep_their_ids(spark):
     def extractor(page_id, html):
         if page_id == 1:
             raise ValueError("broken")
+        if page_id == 3:
+            return {"Article": {"AID": "no number"}}
         return P.page_record(page_id, html)
 
-    records = P.extract_pages(pages(spark, FORUM, FORUM, None), extractor)
+    records = P.extract_pages(pages(spark, FORUM, FORUM, None, FORUM), extractor)
     articles = P.articles(records).collect()
-    assert len(articles) == 3 and sum(row.AID is None for row in articles) == 2
+    assert len(articles) == 4 and sum(row.AID is None for row in articles) == 3
     assert P.comments(records).count() == 2
+    rejects = rows_of(P.page_rejects(records))
+    assert [i for i, _ in rejects] == [1, 2, 3] and rejects[:2] == [(1, "ValueError: broken"), (2, "no html")]
+
+
+def test_large_page_ids(spark):
+    df = spark.createDataFrame([(3_000_000_000, FORUM)], "page_id bigint, html string")
+    records = P.extract_pages(df)
+    assert P.articles(records).first().AID == P.comments(records).first().AID == 3_000_000_000
+
+
+def test_deep_pages_are_read(spark):
+    html = "<td id='article_content'>" + "<p>" * 10_000 + "deep" + "</b>" * 10_000 + "</td>"
+    records = P.extract_pages(pages(spark, html))
+    assert P.articles(records).first().Content == "deep" and P.page_rejects(records).count() == 0
+    assert P.page_text(pages(spark, html)).first().text == "deep"
+
+
+def test_character_references(spark):
+    html = "<title>caf&eacute; &amp;lt;</title><td id='article_content'>it&rsquo;s &#8364;5 &#x20AC;6 &notin;</td>"
+    record = P.articles(P.extract_pages(pages(spark, html))).first()
+    assert (record.Title, record.Content) == ("café &lt;", "it’s €5 €6 ∉")
+    assert P.page_titles(pages(spark, html)).first().title == record.Title
+    assert P.page_text(pages(spark, html)).first().text == "café &lt; it’s €5 €6 ∉"
+
+
+def test_links_in_every_quoting(spark):
+    html = """<a href='/one'>1</a><a class=x href=/two>2</a><A HREF="/three?a=1&amp;b=2" title="x > y">3 <b>&lt;</b></A><a name=q>4</a>"""
+    assert rows_of(P.page_links(pages(spark, html))) == [(0, 0, "/one", "1"), (0, 1, "/two", "2"), (0, 2, "/three?a=1&b=2", "3 <")]
 
 
 def test_unclosed_and_stray_tags(spark):
@@ -61,13 +90,12 @@ def test_unclosed_and_stray_tags(spark):
     assert P.articles(P.extract_pages(pages(spark, html))).first().Content == "abc < d"
 
 
-def test_flat_expressions(spark):
-    df = pages(spark, FORUM)
-    assert df.select(H.tag_text("html", "title"), H.tag_text("html", "h9")).first() == ("A & B", None)
-    text = df.select(H.visible_text("html")).first()[0]
-    assert "x()" not in text and " c " not in text and text.startswith("A & B 2024-1-2 | Pen ulis 1,234")
-    link = P.page_links(pages(spark, '<a class="x" href="/u?a=1">Pen<b>ulis</b></a><a name="n">no</a>'))
-    assert [tuple(r) for r in link.collect()] == [(0, 0, "/u?a=1", "Penulis")]
+def test_flat_page(spark):
+    row = P.read_pages(pages(spark, FORUM)).first()
+    assert row.title == "A & B" and row.problem is None
+    assert "x()" not in row.text and " c " not in row.text and row.text.startswith("A & B 2024-1-2 | Pen ulis 1,234")
+    assert [tuple(link) for link in row.links] == [("/u", "Penulis")]
+    assert P.page_text(pages(spark, FORUM), joiner="").first().text.startswith("A & B 2024-1-2 | Penulis 1,2342")
 
 
 def test_title_default(spark):

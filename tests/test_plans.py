@@ -19,7 +19,7 @@ def plan_of(df, capsys):
 
 
 @pytest.mark.parametrize("name", [
-    "tokens", "word_freq", "hapax_words", "words_union", "merge_counts", "positive_views", "page_text", "page_links",
+    "tokens", "word_freq", "hapax_words", "positive_views",
     "api_page_extracts", "pages_to_messages", "label_rows", "usable_words", "lexicon_nodes", "lexicon_edges",
     "pos_counts", "word_sentiment", "lookup_words", "neighbours_out", "word_profile", "neighbour_sets",
     "network_edges", "components", "repair_lexicon",

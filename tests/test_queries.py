@@ -40,18 +40,25 @@ def test_themes_refine_the_components_and_raise_modularity(spark):
     from wordloom.operators.network import modularity
     from wordloom.plans import fixture
 
-    themes = entry_point.queries()["themes"](spark, SF)
-    components = entry_point.queries()["components"](spark, SF)
+    themes = entry_point.queries()["planted_themes"](spark, SF)
+    components = entry_point.queries()["planted_components"](spark, SF)
     assert themes.count() == components.count() == themes.join(components, "word").count()
-    spread_out = themes.join(components, "word").groupBy("theme").agg({"component": "min", "*": "count"})
-    assert spread_out.count() == themes.select("theme").distinct().count()
-    pairs = fixture.synonym_pairs(spark, SF)
+    sizes = sorted(r["count"] for r in components.groupBy("component").count().collect())
+    assert sizes[-2] > 1000  # the hub and the linked cliques
+    pairs = fixture.planted_pairs(spark, SF)
     by_theme = modularity(pairs, themes, "theme").first()[0]
-    assert by_theme >= modularity(pairs, components, "component").first()[0]
+    assert by_theme > modularity(pairs, components, "component").first()[0] + 0.1
 
 
-def test_every_query_but_themes_has_sql():
-    assert set(entry_point.QUERIES) - set(entry_point.ORACLE) == {"themes"}
+def test_titles_are_the_same_from_both_readers(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    flat = entry_point.queries()["page_titles"](spark, sf_dir).toDF("AID", "flat")
+    both = entry_point.queries()["page_fields"](spark, sf_dir).join(flat, "AID")
+    assert both.count() == 2500 and both.where("flat != Title").count() == 0
+
+
+def test_every_query_has_sql():
+    assert set(entry_point.QUERIES) == set(entry_point.ORACLE)
 
 
 def test_entry(spark):

@@ -58,7 +58,9 @@ def test_search_titles_keep_order_and_limit(spark):
     answer = json.dumps({"query": {"search": [{"title": f"t{i}", "size": i} for i in range(130)]}})
     df = files.rows(spark, [(7, answer), (8, '{"query": {}}'), (9, "junk")], "response_id int, response string")
     found = messages.search_titles(df).orderBy("position").collect()
-    assert [row.title for row in found] == [f"t{i}" for i in range(100)]
+    assert [row.title for row in found] == [f"t{i}" for i in range(130)]
+    first = messages.search_titles(df, limit=100).orderBy("position").collect()
+    assert [row.title for row in first] == [f"t{i}" for i in range(100)]
     assert messages.search_titles(df, limit=2).count() == 2
 
 

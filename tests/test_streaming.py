@@ -69,3 +69,37 @@ def test_csv_and_console_sinks(spark, capfd):
     S.console_stream(S.message_words(file_stream(spark, path))).awaitTermination()
     S.console_sink()(rows(spark, [("tiga",)], "word string"), 0)
     assert "tiga" in capfd.readouterr().out
+
+
+def test_folding_changes_no_count_and_may_be_repeated(spark):
+    path = new_path(spark, "counts")
+    sink = S.count_sink(path)
+    batches = [["a", "a", "b"], ["b"], ["c"], ["a"]]
+    for batch_id, words in enumerate(batches[:3]):
+        sink(rows(spark, [(w,) for w in words], "word string"), batch_id)
+    wanted = [("a", 2), ("b", 2), ("c", 1)]
+    for upto in (1, 1, 0, 2):
+        S.fold_counts(spark, path, upto)
+        assert rows_of(S.read_counts(spark, path)) == wanted
+    sink(rows(spark, [("a",), ("a",)], "word string"), 1)  # a replay of a folded batch counts no more
+    sink(rows(spark, [("a",)], "word string"), 3)
+    assert rows_of(S.read_counts(spark, path)) == [("a", 3), ("b", 2), ("c", 1)]
+
+
+def test_a_fold_that_broke_off_leaves_no_trace(spark):
+    path = new_path(spark, "counts")
+    S.count_sink(path)(rows(spark, [("a",)], "word string"), 0)
+    rows(spark, [("a", 99)], "word string, frequency bigint").write.parquet(f"{path}-folded/upto=0")  # no mark
+    assert rows_of(S.read_counts(spark, path)) == [("a", 1)]
+    S.fold_counts(spark, path, 0)
+    assert rows_of(S.read_counts(spark, path)) == [("a", 1)]
+
+
+def test_folds_along_a_stream(spark):
+    path, counts, checkpoint = (new_path(spark, n) for n in ("messages", "counts", "checkpoint"))
+    for i in range(5):
+        write_messages(spark, path, f"satu {'dua ' * i}")
+    stream = file_stream(spark, path, max_files=1)
+    found = S.stream_word_freq(spark, stream, counts, checkpoint, fold_every=2)
+    assert rows_of(found) == [("dua", 10), ("satu", 5)]
+    assert spark.read.parquet(f"{counts}-marks").count() >= 2

@@ -4,6 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
+from wordloom.functions import html as H
 from wordloom.functions import text as X
 from wordloom.operators import words as W
 
@@ -68,17 +69,16 @@ def test_positive(spark, views, kept):
     assert (df.count() == 1) is kept
 
 
-@pytest.mark.parametrize("text, number", [("1,234", 1234), ("n/a", 0), ("-5", 0), ("", 0), ("99999999999", 0), (None, 0)])
-def test_count_text(spark, text, number):
-    df = spark.createDataFrame([(text,)], "t string")
-    assert column(df.select(X.count_text(F.col("t")))) == [number]
+@pytest.mark.parametrize("text, number", [
+    ("1,234", 1234), ("n/a", 0), ("-5", 0), ("", 0), ("3,000,000,000", 3_000_000_000), ("9" * 30, 0), (str(2**63 - 1), 2**63 - 1), ("٣", 0)])
+def test_count_number(text, number):
+    assert H.count_number(text) == number
 
 
 def test_small_parsers(spark):
-    df = spark.createDataFrame([("comment_12_li", " \t2024-1-1 | x", '""a "b""')], "id string, d string, q string")
-    row = df.select(X.comment_number(F.col("id")), X.before_bar(F.col("d")), X.strip_quotes(F.col("q"))).first()
-    assert tuple(row) == (12, "2024-1-1", 'a "b')
-    assert column(texts(spark, "comment_x").select(X.comment_number(F.col("text")))) == [0]
+    assert [H.comment_number(i) for i in ("comment_12_li", "comment_x", "", "comment_3000000001_li")] == [12, 0, 0, 3_000_000_001]
+    assert H.before_bar(" \t2024-1-1 | x") == "2024-1-1"
+    assert column(texts(spark, '""a "b""').select(X.strip_quotes(F.col("text")))) == ['a "b']
 
 
 @pytest.mark.parametrize("text, number", [
@@ -93,6 +93,8 @@ def test_parsed_number(spark, text, number):
 def test_page_url_and_back(spark):
     df = spark.range(5, 6).select(X.page_url("https://f.example.com/view?mod=view&aid=", F.col("id")).alias("u"))
     assert df.select("u", X.page_id_of(F.col("u"))).first() == ("https://f.example.com/view?mod=view&aid=5", 5)
+    large = spark.range(3_000_000_000, 3_000_000_001).select(X.page_id_of(X.page_url("https://f.example.com/view?aid=", F.col("id"))))
+    assert large.first()[0] == 3_000_000_000
 
 
 def test_frequency_reports(spark):

@@ -70,22 +70,6 @@ def strip_quotes(text) -> Column:
     return F.btrim(text, F.lit('"'))
 
 
-def count_text(text) -> Column:
-    """Digits with thousands commas as int; anything else, or nothing, is 0."""
-    digits = F.regexp_extract(F.replace(text, F.lit(","), F.lit("")), "^[0-9]+$", 0)
-    return F.coalesce(digits.try_cast("int"), F.lit(0))
-
-
-def before_bar(text) -> Column:
-    """Text before the first vertical bar, stripped."""
-    return strip_text(F.split_part(text, F.lit("|"), F.lit(1)))
-
-
-def comment_number(element_id) -> Column:
-    """``comment_12_li`` -> 12; anything without digits in that place -> 0."""
-    return count_text(F.split_part(F.replace(element_id, F.lit("comment_"), F.lit("")), F.lit("_"), F.lit(1)))
-
-
 def parsed_number(text) -> Column:
     """Double, or null where the text is not a plain decimal number."""
     bare = strip_text(text)
@@ -94,7 +78,7 @@ def parsed_number(text) -> Column:
 
 def positive(text) -> Column:
     """True where the text is an integer above 0; bad text is not an error."""
-    return F.coalesce(text.try_cast("int") > 0, F.lit(False))
+    return F.coalesce(text.try_cast("bigint") > 0, F.lit(False))
 
 
 def page_url(base_url: str, page_id) -> Column:
@@ -103,4 +87,4 @@ def page_url(base_url: str, page_id) -> Column:
 
 def page_id_of(url) -> Column:
     """Inverse of :func:`page_url` for urls that carry the id in the ``aid`` parameter."""
-    return F.try_parse_url(url, F.lit("QUERY"), F.lit("aid")).try_cast("int")
+    return F.try_parse_url(url, F.lit("QUERY"), F.lit("aid")).try_cast("bigint")

@@ -1,16 +1,10 @@
 """Themes: communities of a word network found by greedy modularity merging.
 
 Merging two linked groups x and y changes modularity in proportion to ``2 m links(x, y) - degree(x) degree(y)`` with
-``m`` edges in the whole network. That is an integer, so ties and stopping are exact, and it never involves a word
-outside the component, so components can be worked on apart as long as the whole ``m`` is used.
+``m`` edges in the whole network. That is an integer, so ties and stopping are exact, and it never involves a group
+that is not linked to x or y, so merges that do not touch can happen together.
 """
 
-import heapq
-from collections import defaultdict
-from collections.abc import Iterator
-from itertools import groupby
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,97 +13,6 @@ from wordloom.operators.numbering import number_rows
 from wordloom.sources.workspace import round_tables, staged
 
 
-def merge_greedily(pairs: list[tuple[str, str]], total: int) -> dict[str, str]:
-    """Word -> smallest word of its group, for the edges of one component.
-
-    Always merges the linked pair of groups with the largest gain until every gain is negative. Ties go to the pair
-    whose largest members come first.
-
-    A pair lies on a shelf of its group of higher degree, by number of links. On a shelf the best partner is the one
-    with the lowest degree whatever the owner's degree is, so a hub's growth touches one queue entry per shelf. Degrees
-    and largest members only grow, so an outdated entry is never too low in rank and is corrected when it comes up.
-    """
-    links: dict[str, dict[str, int]] = defaultdict(dict)
-    for a, b in pairs:
-        links[a][b] = links[b][a] = 1
-    degree = {word: len(others) for word, others in links.items()}
-    largest = {word: word for word in links}
-    members = {word: [word] for word in links}
-    shelves: dict[tuple[str, int], list[tuple[int, str, str]]] = defaultdict(list)
-    queue: list[tuple] = []
-    listed: dict[tuple[str, int], tuple] = {}
-
-    def enlist(owner: str, count: int) -> None:
-        partner_degree, partner_largest, _ = shelves[owner, count][0]
-        cost = degree[owner] * partner_degree - 2 * total * count
-        entry = (cost, *sorted((largest[owner], partner_largest)), owner, count)
-        if (owner, count) not in listed or entry < listed[owner, count]:
-            listed[owner, count] = entry
-            heapq.heappush(queue, entry)
-
-    def offer(x: str, y: str) -> None:
-        owner, partner = (x, y) if degree[x] >= degree[y] else (y, x)
-        shelf = owner, links[x][y]
-        heapq.heappush(shelves[shelf], (degree[partner], largest[partner], partner))
-        enlist(*shelf)
-
-    for a, b in pairs:
-        offer(a, b)
-    while queue:
-        top = heapq.heappop(queue)
-        if top[0] > 0:
-            break
-        x, count = top[3:]
-        if x not in links or listed.get((x, count)) != top:
-            continue
-        del listed[x, count]
-        shelf = shelves[x, count]
-        while shelf:
-            y = shelf[0][2]
-            if links[x].get(y) != count:
-                heapq.heappop(shelf)
-            elif shelf[0] != (degree[y], largest[y], y):
-                heapq.heapreplace(shelf, (degree[y], largest[y], y))
-            else:
-                break
-        if not shelf:
-            continue
-        enlist(x, count)
-        if listed[x, count] != top:
-            continue
-        if len(links[x]) < len(links[y]):
-            x, y = y, x
-        degree[x] += degree.pop(y)
-        largest[x] = max(largest[x], largest.pop(y))
-        members[x] += members.pop(y)
-        del links[x][y]
-        for other, linked in links.pop(y).items():
-            if other != x:
-                del links[other][y]
-                links[x][other] = links[other][x] = links[x].get(other, 0) + linked
-                offer(x, other)
-    return {word: name for name, group in ((min(group), group) for group in members.values()) for word in group}
-
-
-def _themes_by_component(total: int):
-    """Streams rows ``(component, a, b)``, sorted by component, and merges one component at a time."""
-    def batch(found: dict[str, str]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"word": list(found), "theme": list(found.values())})
-
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for part in stream for row in zip(*(column.to_pylist() for column in part.columns)))
-        found: dict[str, str] = {}
-        for _, edges in groupby(rows, key=lambda row: row[0]):
-            found |= merge_greedily([(a, b) for _, a, b in edges], total)
-            if len(found) >= 10_000:
-                yield batch(found)
-                found = {}
-        if found:
-            yield batch(found)
-
-    return run
-
-
 def _both_ends(*carried: str) -> Column:
     def end(x: str, y: str) -> Column:
         return F.struct(F.col(x).alias("x"), F.col(y).alias("y"), *[F.col(c).alias(c) for c in carried])
@@ -170,14 +73,14 @@ def _merge_round(links: DataFrame, degrees: DataFrame, total: int, store: Store)
     return pairs.select("x", "root").unionByName(joining)
 
 
-def merge_in_rounds(pairs: DataFrame, total: int) -> DataFrame:
-    """``(word, theme)`` by merging many pairs of groups per round, for components too large for one task.
+def merge_in_rounds(pairs: DataFrame) -> DataFrame:
+    """``(word, theme)`` by merging many pairs of linked groups per round, whatever the size of a component.
 
-    The gain and the stopping rule are those of :func:`merge_greedily`; only the order of merges differs, since
-    pairs that do not touch merge together. Modularity never falls, and at the end no merge would raise it.
+    A theme is named by its smallest word. Modularity never falls, and at the end no merge would raise it.
     """
     store = round_tables(pairs.sparkSession)
     links = store(pairs.toDF("x", "y").withColumn("n", F.lit(1).cast("bigint")), "links")
+    total = links.count()
     degrees = links.select(_both_ends("n")).groupBy(F.col("x").alias("g")).agg(F.sum("n").alias("degree"))
     degrees = store(degrees, "degrees")
     groups = degrees.select(F.col("g").alias("word"), F.col("g").alias("theme"))
@@ -199,25 +102,11 @@ def merge_in_rounds(pairs: DataFrame, total: int) -> DataFrame:
     return groups.join(names, "theme").select("word", F.col("name").alias("theme"))
 
 
-def themes(pairs: DataFrame, components: DataFrame, task_pairs: int = 500_000) -> DataFrame:
+def themes(pairs: DataFrame) -> DataFrame:
     """``(theme_id, theme, word)``: every word of the network in one theme, the largest themes first.
 
-    ``pairs`` are distinct undirected edges ``(a, b)``; ``components`` gives each word's component. A component of
-    up to ``task_pairs`` edges is one task's work; larger ones are merged in rounds over the cluster.
+    ``pairs`` are distinct undirected edges ``(a, b)``.
     """
-    tagged = pairs.join(components.withColumnRenamed("word", "a"), "a")
-    sizes = tagged.groupBy("component").agg(F.count("*").alias("n"))
-    total, widest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-
-    small = tagged
-    if widest > task_pairs:
-        # At most one row per task_pairs edges.
-        large = staged(sizes.where(F.col("n") > task_pairs).select("component"), "large-components")
-        small = tagged.join(large, "component", "left_anti")
-    by_component = small.select("component", "a", "b").repartition("component").sortWithinPartitions("component")
-    grouped = by_component.mapInArrow(_themes_by_component(total), "word string, theme string")
-    if widest > task_pairs:
-        grouped = grouped.unionByName(merge_in_rounds(tagged.join(large, "component", "left_semi").select("a", "b"), total))
-    grouped = staged(grouped, "themes")
+    grouped = staged(merge_in_rounds(pairs), "themes")
     ranked = number_rows(grouped.groupBy("theme").agg(F.count("*").alias("n")), F.desc("n"), "theme", name="rank")
     return grouped.join(ranked, "theme").select((F.col("rank") - 1).alias("theme_id"), "theme", "word")

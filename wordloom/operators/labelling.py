@@ -6,7 +6,7 @@ A labeller is any callable ``list[str] -> str`` that returns CSV text with the s
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import text as X
@@ -38,21 +38,41 @@ def prompts(batches: DataFrame, template: str = PROMPT) -> DataFrame:
     return word_lists(batches).select("batch_id", text.alias("prompt"))
 
 
-def responses(batches: DataFrame, labeller: Labeller, calls_at_once: int | None = None) -> DataFrame:
-    """``(batch_id, response)``: one labeller call per batch, on executors.
+def batch_key() -> Column:
+    """What tells whether a batch was answered before: its words, whatever number they have this time."""
+    return F.sha2(F.to_json("words"), 256)
 
-    ``calls_at_once`` bounds how many calls run together. Calls are slow and may cost money, so callers write
-    the result to a table before parsing it.
+
+def unanswered(batches: DataFrame, answers: DataFrame | None) -> DataFrame:
+    """``(batch_id, words)`` of the batches without an answer so far; those that failed are asked again."""
+    lists = word_lists(batches)
+    if answers is None:
+        return lists
+    done = answers.where("error IS NULL").select("batch_key").distinct()
+    return lists.join(done, batch_key() == F.col("batch_key"), "left_anti")
+
+
+def responses(lists: DataFrame, labeller: Labeller, calls_at_once: int = 64) -> DataFrame:
+    """``(batch_id, batch_key, response, error)``: one labeller call per batch of ``(batch_id, words)``, on executors.
+
+    The calls are dealt evenly to ``calls_at_once`` tasks, however few bytes they have. A call that fails has its error
+    instead of a response and does not disturb the others. Calls are slow and may cost money, so callers write the
+    result to a table before parsing it.
     """
-    @F.pandas_udf("string")
-    def call(lists: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("response string, error string")
+    def call(lists: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        def one(batch):
+            try:
+                return labeller(list(batch)), None
+            except Exception as problem:  # one call must not repeat the others
+                return None, f"{type(problem).__name__}: {problem}"
+
         for words in lists:
-            yield words.map(lambda batch: labeller(list(batch)))
+            yield pd.DataFrame([one(batch) for batch in words], columns=["response", "error"], dtype=object)
 
-    lists = word_lists(batches)
-    if calls_at_once:
-        lists = lists.repartition(calls_at_once, "batch_id")
-    return lists.select("batch_id", call.asNondeterministic()("words").alias("response"))
+    dealt = lists.select("batch_id", "words", batch_key().alias("batch_key")).repartition(calls_at_once, "batch_id")
+    called = dealt.select("batch_id", "batch_key", call.asNondeterministic()("words").alias("answer"))
+    return called.select("batch_id", "batch_key", "answer.*")
 
 
 def response_lines(answers: DataFrame) -> DataFrame:
@@ -122,8 +142,6 @@ def usable_words(labels: DataFrame, markers: tuple[str, ...] = UNUSABLE_MARKERS)
     return labels.where(keep)
 
 
-def label_words(batches: DataFrame, labeller: Labeller, store: Callable[[DataFrame], DataFrame],
-                strict: bool = False, calls_at_once: int | None = None) -> DataFrame:
-    """Batches to parsed label lines. ``store`` writes the raw answers and returns them as a table."""
-    answers = store(responses(batches, labeller, calls_at_once))
-    return parse_lines(response_lines(answers), strict)
+def parsed_answers(answers: DataFrame, strict: bool = False) -> DataFrame:
+    """Raw answers to parsed label lines."""
+    return parse_lines(response_lines(answers.where("error IS NULL")), strict)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wordloom.operators.labelling import UNKNOWN
 from wordloom.operators.numbering import collect_in_parts
+from wordloom.sources.workspace import staged
 
 SYNONYM, ANTONYM = "SYNONYM", "ANTONYM"
 
@@ -100,9 +101,9 @@ def lookup_words(keys: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def neighbours_out(keys: DataFrame, edges: DataFrame, rel: str) -> DataFrame:
-    """``(word, neighbour)`` along outgoing edges of one kind."""
+    """Distinct ``(word, neighbour)`` along outgoing edges of one kind; a repeated key counts once."""
     linked = edges.where(F.col("rel") == rel).select(F.col("src").alias("word"), F.col("dst").alias("neighbour"))
-    return keys.select("word").join(linked, "word")
+    return keys.select("word").distinct().join(linked, "word")
 
 
 def word_profile(keys: DataFrame, freq: DataFrame, sentiment: DataFrame, edges: DataFrame,
@@ -114,7 +115,7 @@ def word_profile(keys: DataFrame, freq: DataFrame, sentiment: DataFrame, edges:
     # The semi join takes the keys as they come and the lists get their own partitions, so that Spark may split the
     # join partition that holds a hub's edges.
     wanted = edges.withColumnRenamed("src", "word").join(keys.select("word"), "word", "left_semi")
-    wanted = wanted.repartition("word", "rel", "dst")
+    wanted = staged(wanted.repartition("word", "rel", "dst"), "wanted-edges")  # read up to three times below
     keys = keys.select("word").distinct()
     lists = collect_in_parts(wanted, ["word", "rel"], "dst", part_size)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.operators.numbering import collect_in_parts, ordered_ids
-from wordloom.sources.workspace import round_tables
+from wordloom.sources.workspace import round_tables, staged
 
 
 def both_ways(edges: DataFrame, rel: str) -> DataFrame:
@@ -30,7 +30,7 @@ def neighbour_sets(edges: DataFrame, rel: str, limit: int | None = None, part_si
 
     ``limit`` keeps the first words, not edges. Neighbours beyond ``part_size`` continue in further parts.
     """
-    pairs = _first_words(both_ways(edges, rel), limit)
+    pairs = staged(_first_words(both_ways(edges, rel), limit), "neighbour-pairs")  # read up to three times below
     return collect_in_parts(pairs, ["word"], "neighbour", part_size).withColumnRenamed("values", "neighbours")
 
 

@@ -3,16 +3,16 @@
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
-from html.parser import HTMLParser
-from xml.etree.ElementTree import Element, SubElement
+from xml.etree.ElementTree import Element
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from wordloom.functions import html as H
-from wordloom.schemas import PAGE_RECORD
+from wordloom.schemas import FLAT_PAGE, PAGE_RECORD
 
 
 @dataclass(frozen=True)
@@ -53,77 +53,29 @@ class PageSpec:
 
 # What stands in for an absent tag.
 NO_VALUE, NO_USER, NO_TEXT = "Unknown", "Anonymous", "No comment text"
-_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_HIDDEN = frozenset(("script", "style", "template"))
 _PAGES_AT_ONCE = 256  # pages held as Python objects at a time
 
 
-class _TreeParser(HTMLParser):
-    """Builds an element tree in which every run of text is a ``#text`` child."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Element("#root")
-        self._open = [self.root]
-
-    def handle_starttag(self, tag, attrs):
-        node = SubElement(self._open[-1], tag, {k: v or "" for k, v in attrs})
-        if tag not in _VOID:
-            self._open.append(node)
-
-    def handle_startendtag(self, tag, attrs):
-        SubElement(self._open[-1], tag, {k: v or "" for k, v in attrs})
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self._open) - 1, 0, -1):
-            if self._open[depth].tag == tag:
-                del self._open[depth:]
-                return
-
-    def handle_data(self, data):
-        parent = self._open[-1]
-        if len(parent) and parent[-1].tag == "#text":
-            parent[-1].text += data
-        else:
-            SubElement(parent, "#text").text = data
-
-    def handle_comment(self, data):
-        SubElement(self._open[-1], "#comment")
-
-
 def _find(node: Element | None, selector: Selector) -> Element | None:
     if node is None:
         return None
     return next((n for n in node.iter() if n is not node and selector.matches(n)), None)
 
 
-def _texts(node: Element, without: Selector | None = None) -> Iterator[str]:
-    for child in node:
-        if child.tag == "#text":
-            yield child.text
-        elif child.tag not in _HIDDEN and not (without and without.matches(child)):
-            yield from _texts(child, without)
-
-
 def _plain(node: Element | None, default: str) -> str:
-    return default if node is None else "".join(_texts(node)).strip()
+    return default if node is None else "".join(H.texts(node)).strip()
 
 
 def _joined(node: Element, joiner: str, without: Selector | None = None) -> str:
-    return joiner.join(t for t in (text.strip() for text in _texts(node, without)) if t)
-
-
-def _number(text: str) -> int:
-    digits = text.replace(",", "")
-    number = int(digits) if digits.isascii() and digits.isdigit() else 0
-    return number if number < 2**31 else 0
+    stripped = (text.strip() for text in H.texts(node, without and without.matches))
+    return joiner.join(t for t in stripped if t)
 
 
 def _comment_record(node: Element, page_id: int, spec: PageSpec) -> dict:
     body = _find(node, spec.body)
     return {
         "AID": page_id,
-        "Comment_ID": _number(node.get("id", "").replace("comment_", "").split("_")[0]),
+        "Comment_ID": H.comment_number(node.get("id", "")),
         "User": _plain(_find(node, spec.user), NO_USER),
         "Comment_Text": NO_TEXT if body is None else _joined(body, spec.joiner, spec.quote),
     }
@@ -131,10 +83,7 @@ def _comment_record(node: Element, page_id: int, spec: PageSpec) -> dict:
 
 def page_record(page_id: int, html: str, spec: PageSpec = PageSpec()) -> dict:
     """The article and its comments as one record."""
-    parser = _TreeParser()
-    parser.feed(html)
-    parser.close()
-    root = parser.root
+    root = H.parse(html)
     byline = _find(root, spec.byline)
     content = _find(root, spec.content)
     comments = _find(root, spec.comments)
@@ -142,10 +91,10 @@ def page_record(page_id: int, html: str, spec: PageSpec = PageSpec()) -> dict:
         "Article": {
             "AID": page_id,
             "Title": _plain(_find(root, spec.title), NO_VALUE),
-            "Date": NO_VALUE if byline is None else "".join(_texts(byline)).split("|")[0].strip(),
+            "Date": NO_VALUE if byline is None else H.before_bar("".join(H.texts(byline))),
             "Publisher": _plain(_find(byline, spec.publisher), NO_VALUE),
-            "Views": _number(_plain(_find(root, spec.views), "0")),
-            "Comments_Count": _number(_plain(_find(root, spec.comment_count), "0")),
+            "Views": H.count_number(_plain(_find(root, spec.views), "0")),
+            "Comments_Count": H.count_number(_plain(_find(root, spec.comment_count), "0")),
             "Content": "" if content is None else _joined(content, spec.joiner),
         },
         "Comments": [] if comments is None else [
@@ -157,32 +106,42 @@ def page_record(page_id: int, html: str, spec: PageSpec = PageSpec()) -> dict:
 Extractor = Callable[[int, str], dict | None]
 
 
-def extract_pages(pages: DataFrame, extractor: Extractor | None = None, spec: PageSpec = PageSpec()) -> DataFrame:
-    """``(Article, Comments)`` per stored page ``(page_id, html)``, page by page on executors.
-
-    Any function from id and HTML to a record can be plugged in. A page it cannot read gives a null article and
-    null comments. Write the result once when both parts are needed.
-    """
-    extract = extractor or partial(page_record, spec=spec)
-    schema = to_arrow_schema(PAGE_RECORD)
+def _read(pages: DataFrame, read: Callable[[int, str], dict], schema: T.StructType) -> DataFrame:
+    """``read`` on every stored page; ``page_id`` always, and why a page could not be read in ``problem``."""
+    full = T.StructType([pages.schema["page_id"], *schema, T.StructField("problem", T.StringType())])
+    arrow = to_arrow_schema(full)
 
     def record(page_id, html):
+        if html is None:
+            return {"page_id": page_id, "problem": "no html"}
         try:
-            return extract(page_id, html) or {}
-        except Exception:  # one unreadable page must not stop the job
-            return {}
+            found = read(page_id, html)
+            row = {"page_id": page_id, **found} if found else {"page_id": page_id, "problem": "no record"}
+            pa.RecordBatch.from_pylist([row], schema=arrow)  # an extractor's record may not fit the schema
+            return row
+        except Exception as problem:  # one unreadable page must not stop the job
+            return {"page_id": page_id, "problem": f"{type(problem).__name__}: {problem}"}
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for start in range(0, batch.num_rows, _PAGES_AT_ONCE):
                 ids, htmls = (column.to_pylist() for column in batch.slice(start, _PAGES_AT_ONCE).columns)
-                yield pa.RecordBatch.from_pylist([record(*page) for page in zip(ids, htmls)], schema=schema)
+                yield pa.RecordBatch.from_pylist([record(*page) for page in zip(ids, htmls)], schema=arrow)
+
+    return pages.select("page_id", "html").mapInArrow(run, full)
+
 
-    return pages.select("page_id", "html").mapInArrow(run, PAGE_RECORD)
+def extract_pages(pages: DataFrame, extractor: Extractor | None = None, spec: PageSpec = PageSpec()) -> DataFrame:
+    """``(page_id, Article, Comments, problem)`` per stored page ``(page_id, html)``, page by page on executors.
+
+    Any function from id and HTML to a record can be plugged in. A page it cannot read keeps its id, has a null article
+    and null comments, and says why in ``problem``. Write the result once when several parts are needed.
+    """
+    return _read(pages, extractor or partial(page_record, spec=spec), PAGE_RECORD)
 
 
 def articles(records: DataFrame) -> DataFrame:
-    """One row per page; an unreadable page is a row of nulls."""
+    """One row per page; an unreadable page is a row of nulls, and stands in :func:`page_rejects` with its id."""
     return records.select("Article.*")
 
 
@@ -191,15 +150,31 @@ def comments(records: DataFrame) -> DataFrame:
     return records.select(F.explode("Comments").alias("Comment")).select("Comment.*")
 
 
+def page_rejects(records: DataFrame) -> DataFrame:
+    """``(page_id, problem)`` of the pages that could not be read."""
+    return records.where("problem IS NOT NULL").select("page_id", "problem")
+
+
+def _flat(page_id: int, html: str, joiner: str) -> dict:
+    root = H.parse(html)
+    return {"title": _plain(_find(root, PageSpec.title), NO_VALUE), "text": H.visible_text(root, joiner),
+            "links": [{"href": href, "label": label} for href, label in H.links(root)]}
+
+
+def read_pages(pages: DataFrame, joiner: str = " ") -> DataFrame:
+    """``(page_id, title, text, links, problem)``: the parts that need no page layout, from one reading of the page."""
+    return _read(pages, partial(_flat, joiner=joiner), FLAT_PAGE)
+
+
 def page_titles(pages: DataFrame) -> DataFrame:
-    return pages.select("page_id", F.coalesce(H.tag_text("html", "title"), F.lit(NO_VALUE)).alias("title"))
+    return read_pages(pages).select("page_id", F.coalesce("title", F.lit(NO_VALUE)).alias("title"))
 
 
 def page_text(pages: DataFrame, joiner: str = " ") -> DataFrame:
-    return pages.select("page_id", H.visible_text("html", joiner).alias("text"))
+    return read_pages(pages, joiner).select("page_id", "text")
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """One row per link, in page order."""
-    found = pages.select("page_id", F.posexplode(H.links("html")).alias("position", "link"))
+    found = read_pages(pages).select("page_id", F.posexplode("links").alias("position", "link"))
     return found.select("page_id", "position", "link.*")

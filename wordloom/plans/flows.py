@@ -4,12 +4,14 @@ Each step takes DataFrames, writes its tables below ``path`` and returns them as
 twice and a later step starts from files. Writing again replaces the tables.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.operators import labelling, lexicon, pages, words
 from wordloom.operators.labelling import Labeller
 from wordloom.operators.numbering import batches
+from wordloom.schemas import ANSWER
+from wordloom.sources.files import read_counts, stored_or_none, write_counts
 from wordloom.sources.workspace import written
 
 
@@ -29,33 +31,78 @@ def build_vocabulary(articles: DataFrame, comments: DataFrame | None, streamed:
     return written(words.word_freq(words.clean_tokens(found)), f"{path}/word_freq")
 
 
+def answer_batches(vocabulary: DataFrame, labeller: Labeller, path: str, batch_size: int = 80,
+                   calls_at_once: int = 64) -> DataFrame:
+    """``(batch_id, batch_key, response, error)`` of all batches of the words.
+
+    Answers are appended, a folder a run: a rerun asks only for batches whose words have no answer yet.
+    """
+    spark, numbered = vocabulary.sparkSession, batches(vocabulary, batch_size)
+    asked = labelling.unanswered(numbered, stored_or_none(spark, f"{path}/answers", ANSWER))
+    labelling.responses(asked, labeller, calls_at_once).write.mode("append").parquet(f"{path}/answers")
+    answers = spark.read.schema(ANSWER).parquet(f"{path}/answers")
+    # Numbers are those of this run; a batch that failed and was asked again counts by its answer.
+    current = labelling.word_lists(numbered).select("batch_id", labelling.batch_key().alias("batch_key"))
+    best = F.min_by(F.struct("response", "error"), F.struct(F.col("error").isNotNull(), "response", "error")).alias("answer")
+    latest = answers.groupBy("batch_key").agg(best)
+    return current.join(latest, "batch_key").select("batch_id", "batch_key", "answer.*")
+
+
 def label_words(vocabulary: DataFrame, labeller: Labeller, path: str, batch_size: int = 80, strict: bool = False,
-                calls_at_once: int | None = None) -> tuple[DataFrame, DataFrame]:
+                calls_at_once: int = 64) -> tuple[DataFrame, DataFrame]:
     """``(labels, rejects)`` of the words; raw answers stay in a table of their own.
 
-    ``seq`` of a label is its batch and line, which is the order in which labels overwrite each other.
+    ``seq`` of a label is its batch and line, which is the order in which labels overwrite each other. A batch whose call
+    failed is a reject with the error as its line.
     """
-    parsed = labelling.label_words(batches(vocabulary, batch_size), labeller,
-                                   lambda answers: written(answers, f"{path}/answers"), strict, calls_at_once)
-    checked = written(labelling.checked_labels(parsed), f"{path}/checked")
+    answers = answer_batches(vocabulary, labeller, path, batch_size, calls_at_once)
+    checked = written(labelling.checked_labels(labelling.parsed_answers(answers, strict)), f"{path}/checked")
     checked = checked.withColumn("seq", F.struct("batch_id", "line_no"))
     labels = checked.where("reason IS NULL").select("seq", *labelling.LABEL_FIELDS)
-    return labels, checked.where("reason IS NOT NULL").select("seq", "line", "reason")
+    failed = answers.where("error IS NOT NULL").select(
+        F.struct("batch_id", F.lit(0).alias("line_no")).alias("seq"), F.col("error").alias("line"), F.lit("call").alias("reason"))
+    return labels, checked.where("reason IS NOT NULL").select("seq", "line", "reason").unionByName(failed)
 
 
-def enrich(labels: DataFrame, path: str) -> dict[str, DataFrame]:
-    """The lexicon tables of the usable labels."""
+def enrich(labels: DataFrame, path: str, run_id: str = "labels") -> dict[str, DataFrame]:
+    """The lexicon tables of the usable labels. Counters are stored under the run, sentiments with it."""
     usable = labelling.usable_words(labels)
+    count_labels(usable, path, run_id)
     return {
         "nodes": written(lexicon.lexicon_nodes(usable), f"{path}/nodes"),
         "edges": written(lexicon.lexicon_edges(usable), f"{path}/edges"),
-        "pos_counts": written(lexicon.pos_counts(usable), f"{path}/pos_counts"),
-        "sentiment_counts": written(lexicon.sentiment_counts(usable), f"{path}/sentiment_counts"),
-        "word_sentiment": written(lexicon.word_sentiment(usable), f"{path}/word_sentiment"),
+        **counters(usable.sparkSession, path),
+    }
+
+
+def count_labels(labels: DataFrame, path: str, run_id: str, order: int = 0) -> None:
+    """Add the labels of one run to the counters. The same run again replaces its own counts and adds nothing.
+
+    ``order`` tells which run's sentiment of a word is the later one.
+    """
+    write_counts(lexicon.pos_counts(labels), f"{path}/pos_counts", run_id)
+    write_counts(lexicon.sentiment_counts(labels), f"{path}/sentiment_counts", run_id)
+    write_counts(lexicon.word_sentiment(labels).withColumn("run_order", F.lit(order)), f"{path}/word_sentiment", run_id)
+
+
+def counters(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Labels per part of speech and per sentiment over all runs, and each word's latest sentiment."""
+    sentiments = spark.read.schema("word string, sentiment double, run_order int, run_id string").option(
+        "basePath", f"{path}/word_sentiment").parquet(f"{path}/word_sentiment")
+    return {
+        "pos_counts": read_counts(spark, f"{path}/pos_counts", "pos", "n"),
+        "sentiment_counts": read_counts(spark, f"{path}/sentiment_counts", "bucket", "n"),
+        "word_sentiment": lexicon.last_wins(sentiments, ["word"], ["sentiment"], F.struct("run_order", "run_id")),
     }
 
 
-def repair(nodes: DataFrame, labeller: Labeller, path: str, batch_size: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Label the words without properties: the repaired nodes, and the labels for the counters."""
+def repair(nodes: DataFrame, labeller: Labeller, path: str, batch_size: int = 80, counter_path: str | None = None,
+           run_id: str = "repair", order: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Label the words without properties: the repaired nodes, and the labels.
+
+    The labels are added to the counters at ``counter_path`` as a run of their own.
+    """
     labels, _ = label_words(lexicon.words_missing_props(nodes), labeller, path, batch_size)
+    if counter_path is not None:
+        count_labels(labels, counter_path, run_id, order)
     return lexicon.repair_lexicon(nodes, labels), labels

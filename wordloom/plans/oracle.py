@@ -30,9 +30,7 @@ def _decoded(text: str) -> str:
     return f"regexp_replace({_unescaped(text)}, '&amp;?', '&', 'g')"
 
 
-_VISIBLE = _stripped(
-    r"regexp_replace(" + f"replace({_unescaped('bare')}, '&amp;', '&')" + r", '\s+', ' ', 'g')"
-)
+_VISIBLE = _stripped(rf"regexp_replace({_decoded('bare')}, '[\s\x{{A0}}]+', ' ', 'g')")
 _PAGE_TEXT = rf"""
 page_text AS (
   SELECT page_id, {_VISIBLE} AS text FROM (
@@ -47,7 +45,7 @@ page_words AS (
   WHERE word <> '')"""
 
 _LABELS = f"""
-ranked AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS r FROM freq WHERE frequency >= 3),
+ranked AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS r FROM freq),
 first_labels AS (
   SELECT a.r AS seq, a.word, 'def ' || a.r AS definition,
     CASE WHEN a.r % 5 = 0 THEN {UNKNOWN} WHEN a.r % 11 = 0 THEN a.word ELSE coalesce(t.word, {UNKNOWN}) END AS antonym,
@@ -136,8 +134,17 @@ _LABEL_COLUMNS = "batch_id, word, definition, antonym, synonym, pos, sentiment"
 _MISSING = """
 missing AS (SELECT word FROM nodes WHERE definition IS NULL AND pos IS NULL)"""
 
+# Labels of the repair come after all others; a missing word is answered once.
+_COUNTED = """
+counted AS (
+  SELECT word, pos, sentiment, 0 AS run, seq FROM valid
+  UNION ALL
+  SELECT word, pos, CAST(sentiment AS DOUBLE), 1, n FROM answered WHERE size % 11 <> 0 AND size % 13 <> 0)"""
+
 _PAIRS = """
 pairs AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM edges WHERE rel = 'SYNONYM')"""
+_ANTONYM_PAIRS = _PAIRS.replace("SYNONYM", "ANTONYM")
+# Words link inside blocks of eight only, so a component has at most 64 pairs.
 _COMPONENTS = """
 links AS (SELECT a AS u, b AS v FROM pairs UNION ALL SELECT b, a FROM pairs),
 reach(word, seen) AS (
@@ -147,6 +154,20 @@ reach(word, seen) AS (
 components AS (SELECT word, min(seen) AS component FROM reach GROUP BY word)"""
 
 
+# Every merge inside a component of eight words helps in a network of this size, so each component is one theme.
+_SMALL_THEMES = """
+SELECT dense_rank() OVER (ORDER BY n DESC, component) - 1 AS theme_id, component AS theme, word
+FROM components JOIN (SELECT component, count(*) AS n FROM components GROUP BY component) USING (component)"""
+
+_PLANTED = """
+places AS (SELECT word, r // 10 AS q, r % 10 AS kind FROM (
+  SELECT word, row_number() OVER (ORDER BY word) - 1 AS r FROM freq) WHERE r % 10 < 3),
+sized AS (SELECT count(*) AS words, CAST(ceil(1.3 * pow(count(*), 1.0 / 3)) AS BIGINT) + 4 AS s FROM places WHERE kind = 0),
+planted AS (
+  SELECT word, kind, CASE kind WHEN 0 THEN q // s WHEN 1 THEN 0 ELSE q // (4 * s) END AS g FROM places, sized
+  WHERE kind = 1 OR kind = 0 AND q < words // s * s OR kind = 2 AND q < words // (4 * s) * (4 * s))"""
+
+
 def _both_ways(rel: str) -> str:
     return f"""
 linked AS (
@@ -171,7 +192,6 @@ _NAV = r"regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1)"
 _NAV_LABELS = rf"regexp_extract_all({_NAV}, '<a href=\"[^\"]*\">([^<]*)</a>', 1)"
 _TITLE_TAG = "regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"
 _TITLE = _stripped(_decoded(_TITLE_TAG))
-_FLAT_TITLE = _stripped(f"replace({_unescaped(_TITLE_TAG)}, '&amp;', '&')")
 
 ORACLE = {
     "tokens": """
@@ -202,38 +222,51 @@ WHERE event_type <> 'error' AND TRY_CAST(json_extract_string(props, '$.k') AS IN
     "page_ids_range": """
 SELECT r.page_id, 'https://forum.example.com/view?aid=' || r.page_id AS url, p.page_id IS NOT NULL AS is_stored,
   r.page_id AS aid
-FROM (SELECT unnest(range(lo, hi + 1)) AS page_id FROM (SELECT min(page_id) AS lo, max(page_id) AS hi FROM pages)) r
+FROM (SELECT unnest(range(0, n)) AS page_id FROM (SELECT count(*) AS n FROM pages)) r
 LEFT JOIN pages p ON p.page_id = r.page_id""",
+    "forum_fields": f"""
+SELECT doc_id AS "AID", source || ' ' || lang AS "Title",
+  CASE WHEN doc_id % 5 = 0 THEN 'Unknown' ELSE '2024-1-' || (doc_id % 28 + 1) END AS "Date",
+  CASE WHEN doc_id % 5 = 0 THEN 'Unknown' ELSE source END AS "Publisher",
+  CASE WHEN doc_id % 7 = 0 THEN 0 ELSE n_chars * 1000003 END AS "Views", doc_id % 4 AS "Comments_Count",
+  CASE WHEN doc_id % 11 = 0 THEN '' ELSE {_stripped("text")} || lang END AS "Content"
+FROM documents""",
+    "forum_comments": """
+SELECT doc_id AS "AID", CASE WHEN k % 2 = 1 THEN 0 ELSE doc_id * 10 + k + 3000000000 END AS "Comment_ID",
+  CASE WHEN k = 2 THEN 'Anonymous' ELSE 'user' || k END AS "User",
+  CASE WHEN k = 1 THEN 'No comment text' ELSE 'says é ' || k END AS "Comment_Text"
+FROM (SELECT doc_id, unnest(range(0, doc_id % 4)) AS k FROM documents)""",
+    "page_rejects": "SELECT page_id, 'no html' AS problem FROM pages WHERE page_id % 9 = 0",
     "page_fields": rf"""
-SELECT CAST(page_id AS INTEGER) AS "AID", {_TITLE} AS "Title",
+SELECT page_id AS "AID", {_TITLE} AS "Title",
   {_stripped("split_part(array_to_string([" + _decoded("x") + " for x in labels], ''), '|', 1)")} AS "Date",
-  {_stripped(_decoded("labels[1]"))} AS "Publisher", CAST(0 AS INTEGER) AS "Views", CAST(0 AS INTEGER) AS "Comments_Count",
+  {_stripped(_decoded("labels[1]"))} AS "Publisher", CAST(0 AS BIGINT) AS "Views", CAST(0 AS BIGINT) AS "Comments_Count",
   array_to_string([{_stripped(_decoded("x"))} for x in texts], '') AS "Content"
 FROM (
   SELECT page_id, html, {_NAV_LABELS} AS labels,
     string_split_regex(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]*>') AS texts
   FROM pages)""",
     "page_comments": rf"""
-SELECT "AID", CAST(0 AS INTEGER) AS "Comment_ID", label AS "User", label AS "Comment_Text" FROM (
+SELECT "AID", CAST(0 AS BIGINT) AS "Comment_ID", label AS "User", label AS "Comment_Text" FROM (
   SELECT "AID", {_stripped(_decoded("label"))} AS label FROM (
-    SELECT CAST(page_id AS INTEGER) AS "AID", unnest({_NAV_LABELS}) AS label FROM pages))""",
-    "page_titles": f"SELECT page_id, {_FLAT_TITLE} AS title FROM pages",
+    SELECT page_id AS "AID", unnest({_NAV_LABELS}) AS label FROM pages))""",
+    "page_titles": f"SELECT page_id, {_TITLE} AS title FROM pages",
     "page_text": _with(_PAGE_TEXT, query="SELECT page_id, text FROM page_text"),
     "page_links": rf"""
-SELECT page_id, CAST(position - 1 AS INTEGER) AS position, hrefs[position] AS href,
-  {_stripped("replace(" + _unescaped("labels[position]") + ", '&amp;', '&')")} AS label
+SELECT page_id, CAST(position - 1 AS INTEGER) AS position, {_decoded("hrefs[position]")} AS href,
+  {_stripped(_decoded("labels[position]"))} AS label
 FROM (
   SELECT page_id, hrefs, labels, unnest(range(1, len(hrefs) + 1)) AS position FROM (
     SELECT page_id, regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 1) AS hrefs,
       regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 2) AS labels FROM pages))""",
     "api_search_titles": f"""
 SELECT response_id, CAST(n - 1 AS INTEGER) AS position, title FROM (
-  SELECT page_id // 120 AS response_id, {_FLAT_TITLE} AS title,
-    row_number() OVER (PARTITION BY page_id // 120 ORDER BY page_id) AS n FROM pages)
-WHERE n <= 100""",
+  SELECT page_id // 120 AS response_id, {_TITLE} AS title,
+    row_number() OVER (PARTITION BY page_id // 120 ORDER BY page_id) AS n FROM pages)""",
     "api_page_extracts": """SELECT url AS "Title", html AS "Content" FROM pages WHERE page_id % 5 <> 0""",
     "pages_to_messages": """SELECT url AS "Title", html AS "Content" FROM pages""",
     "stream_words": _ASCII_WORDS,
+    "stream_csv_words": _ASCII_WORDS,
     "stream_word_freq": f"SELECT word, count(*)::BIGINT AS frequency FROM ({_ASCII_WORDS}) GROUP BY word",
     "numbered_words": _with(_WORDS, query="SELECT word, row_number() OVER (ORDER BY word) AS row_number FROM freq"),
     "label_batches": _with(*_ANSWERS, query="SELECT batch_id, word FROM batched"),
@@ -272,7 +305,7 @@ FROM valid GROUP BY 1"""),
     "lookup_words": _with(*_LEXICON, _NODES, _BENCHMARK, query="""
 SELECT n.word, n.definition, n.pos FROM keys k JOIN nodes n ON n.word = k.word"""),
     "neighbours_out": _with(*_LEXICON, _EDGES, _BENCHMARK, query="""
-SELECT k.word, e.dst AS neighbour FROM keys k JOIN edges e ON e.src = k.word AND e.rel = 'SYNONYM'"""),
+SELECT DISTINCT k.word, e.dst AS neighbour FROM keys k JOIN edges e ON e.src = k.word AND e.rel = 'SYNONYM'"""),
     "word_profile": _with(*_LEXICON, _NODES, _EDGES, _SENTIMENT, """
 wanted AS (SELECT word FROM freq UNION SELECT word FROM nodes),
 listed AS (
@@ -295,6 +328,15 @@ SELECT word, component FROM components"""),
 SELECT round(sum(l / m - (l / m) * (l / m)), 9) AS modularity FROM (
   SELECT CAST(count(*) AS DOUBLE) AS l, CAST((SELECT count(*) FROM pairs) AS DOUBLE) AS m
   FROM pairs p JOIN components c ON c.word = p.a GROUP BY c.component)"""),
+    "themes": _with(*_LEXICON, _EDGES, _PAIRS, _COMPONENTS, recursive=True, query=_SMALL_THEMES),
+    "antonym_components": _with(*_LEXICON, _EDGES, _ANTONYM_PAIRS, _COMPONENTS, recursive=True, query="""
+SELECT word, component FROM components"""),
+    "antonym_themes": _with(*_LEXICON, _EDGES, _ANTONYM_PAIRS, _COMPONENTS, recursive=True, query=_SMALL_THEMES),
+    "planted_components": _with(_WORDS, _PLANTED, query="""
+SELECT word, min(word) OVER (PARTITION BY kind, CASE WHEN kind = 2 THEN g END) AS component FROM planted"""),
+    "planted_themes": _with(_WORDS, _PLANTED, query="""
+SELECT dense_rank() OVER (ORDER BY n DESC, theme) - 1 AS theme_id, theme, word FROM (
+  SELECT word, min(word) OVER (PARTITION BY kind, g) AS theme, count(*) OVER (PARTITION BY kind, g) AS n FROM planted)"""),
     "words_missing_props": _with(*_LEXICON, _NODES, query="""
 SELECT word FROM nodes WHERE definition IS NULL AND pos IS NULL"""),
     "repair_lexicon": _with(*_LEXICON, _NODES, _MISSING, _answers("missing"), query="""
@@ -304,4 +346,14 @@ FROM nodes n LEFT JOIN answered a ON a.word = n.word AND a.size % 11 <> 0 AND a.
     "repair_counts": _with(*_LEXICON, _NODES, _MISSING, _answers("missing"), query=f"""
 SELECT CASE WHEN pos = 'bukan kategori' THEN {UNKNOWN} ELSE pos END AS pos, count(*)::BIGINT AS n FROM answered
 WHERE size % 11 <> 0 AND size % 13 <> 0 GROUP BY 1"""),
+    "repair_pos_counts": _with(*_LEXICON, _NODES, _MISSING, _answers("missing"), _COUNTED, query=f"""
+SELECT CASE WHEN pos = 'bukan kategori' THEN {UNKNOWN} ELSE pos END AS pos, count(*)::BIGINT AS n FROM counted GROUP BY 1"""),
+    "repair_sentiment_counts": _with(*_LEXICON, _NODES, _MISSING, _answers("missing"), _COUNTED, query="""
+SELECT CASE WHEN sentiment > 0 THEN 'positive' WHEN sentiment < 0 THEN 'negative' ELSE 'neutral' END AS bucket,
+  count(*)::BIGINT AS n
+FROM counted GROUP BY 1"""),
+    "repair_word_sentiment": _with(*_LEXICON, _NODES, _MISSING, _answers("missing"), _COUNTED, query="""
+SELECT word, sentiment FROM (
+  SELECT word, sentiment, row_number() OVER (PARTITION BY word ORDER BY run DESC, seq DESC) AS n FROM counted)
+WHERE n = 1"""),
 }

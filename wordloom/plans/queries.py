@@ -108,13 +108,12 @@ def csv_roundtrip(spark, sf_dir):
 
 
 def page_ids_range(spark, sf_dir):
-    """Every id between the smallest and the largest page id, its address, and whether the page is stored."""
+    """Ids from 0 up to the number of pages, their addresses, and whether the page is stored."""
     stored = table(spark, sf_dir, "pages").select("page_id", F.lit(True).alias("is_stored"))
-    first, last = stored.agg(F.coalesce(F.min("page_id"), F.lit(0)), F.coalesce(F.max("page_id"), F.lit(-1))).first()
-    ids = files.id_range(spark, first, last + 1).join(stored, "page_id", "left")
+    ids = files.id_range(spark, 0, stored.count()).join(stored, "page_id", "left")
     url = X.page_url("https://forum.example.com/view?aid=", F.col("page_id"))
     return ids.select("page_id", url.alias("url"), F.coalesce("is_stored", F.lit(False)).alias("is_stored"),
-                      X.page_id_of(url).cast("bigint").alias("aid"))
+                      X.page_id_of(url).alias("aid"))
 
 
 def _pages(spark, sf_dir):
@@ -129,6 +128,20 @@ def page_comments(spark, sf_dir):
     return pages.comments(pages.extract_pages(_pages(spark, sf_dir), spec=PAGE_LAYOUT))
 
 
+def forum_fields(spark, sf_dir):
+    return pages.articles(fixture.forum_records(spark, sf_dir))
+
+
+def forum_comments(spark, sf_dir):
+    return pages.comments(fixture.forum_records(spark, sf_dir))
+
+
+def page_rejects(spark, sf_dir):
+    """Pages without HTML, every ninth one here, cannot be read."""
+    some = _pages(spark, sf_dir).withColumn("html", F.when(F.col("page_id") % 9 != 0, F.col("html")))
+    return pages.page_rejects(pages.extract_pages(some, spec=PAGE_LAYOUT))
+
+
 def page_titles(spark, sf_dir):
     return pages.page_titles(_pages(spark, sf_dir))
 
@@ -142,7 +155,7 @@ def page_links(spark, sf_dir):
 
 
 def api_search_titles(spark, sf_dir):
-    """Stored search answers of 120 hits each, of which a search lists 100."""
+    """Stored search answers of 120 hits each."""
     titles = pages.page_titles(table(spark, sf_dir, "pages")).withColumn("response_id", F.floor(F.col("page_id") / 120))
     hits = F.sort_array(F.collect_list(F.struct("page_id", "title")))
     answers = titles.groupBy("response_id").agg(hits.alias("search"))
@@ -168,22 +181,34 @@ def pages_to_messages(spark, sf_dir):
     return messages.from_messages(_page_messages(spark, sf_dir))
 
 
-def _message_stream(spark, sf_dir):
+def _message_stream(spark, sf_dir, batches_at_least=4):
+    """The messages in files, and a stream over them that takes several micro-batches."""
     path = new_path(spark, "messages")
-    messages.write_message_files(spread(_page_messages(spark, sf_dir)), path)
-    return messages.file_stream(spark, path)
+    count = max(batches_at_least, spark.sparkContext.defaultParallelism)
+    messages.write_message_files(_page_messages(spark, sf_dir).repartition(count), path)
+    return messages.file_stream(spark, path, max_files=max(1, count // batches_at_least))
 
 
 def stream_words(spark, sf_dir):
+    """The words from a query that also counts them."""
     stream = streams.message_words(_message_stream(spark, sf_dir))
-    path, checkpoint = new_path(spark, "stream-words"), new_path(spark, "stream-checkpoint")
-    streams.write_stream(stream, checkpoint, streams.word_sink(path)).awaitTermination()
+    path, counts, checkpoint = (new_path(spark, n) for n in ("stream-words", "stream-counts", "stream-checkpoint"))
+    streams.write_stream(stream, checkpoint, streams.word_sink(path), streams.count_sink(counts)).awaitTermination()
     return spark.read.schema("word string, run_id string").parquet(path).select("word")
 
 
 def stream_word_freq(spark, sf_dir):
-    return streams.stream_word_freq(spark, _message_stream(spark, sf_dir), new_path(spark, "stream-counts"),
-                                    new_path(spark, "stream-checkpoint"))
+    """Counts of a query that also keeps the words; earlier micro-batches are folded on the way."""
+    path, counts, checkpoint = (new_path(spark, n) for n in ("stream-words", "stream-counts", "stream-checkpoint"))
+    return streams.stream_word_freq(spark, _message_stream(spark, sf_dir), counts, checkpoint, streams.word_sink(path),
+                                    fold_every=2)
+
+
+def stream_csv_words(spark, sf_dir):
+    """The words from the checkpointed CSV sink."""
+    path, checkpoint = new_path(spark, "stream-csv"), new_path(spark, "stream-checkpoint")
+    streams.csv_stream(streams.message_words(_message_stream(spark, sf_dir)), path, checkpoint).awaitTermination()
+    return files.read_csv(spark, path, "word string")
 
 
 def numbered_words(spark, sf_dir):
@@ -304,20 +329,58 @@ def modularity(spark, sf_dir):
 
 
 def themes(spark, sf_dir):
-    return communities.themes(fixture.synonym_pairs(spark, sf_dir), _synonym_components(spark, sf_dir))
+    return communities.themes(fixture.synonym_pairs(spark, sf_dir))
+
+
+def antonym_components(spark, sf_dir):
+    return network.components(fixture.antonym_pairs(spark, sf_dir))
+
+
+def antonym_themes(spark, sf_dir):
+    return communities.themes(fixture.antonym_pairs(spark, sf_dir))
+
+
+def planted_components(spark, sf_dir):
+    """Components of a network with a hub, chains, and cliques that are all linked."""
+    return network.components(fixture.planted_pairs(spark, sf_dir))
+
+
+def planted_themes(spark, sf_dir):
+    """Each clique is a theme although all cliques are one component."""
+    return communities.themes(fixture.planted_pairs(spark, sf_dir))
 
 
 def words_missing_props(spark, sf_dir):
     return lexicon.words_missing_props(fixture.nodes(spark, sf_dir))
 
 
+def _repaired(spark, sf_dir):
+    """Nodes, labels and counters after the labels were counted and the nodes repaired."""
+    path = new_path(spark, "repair")
+    flows.count_labels(fixture.valid_labels(spark, sf_dir), path, "labels")
+    nodes, labels = flows.repair(fixture.nodes(spark, sf_dir), stub_labeller, path, counter_path=path)
+    return nodes, labels, flows.counters(spark, path)
+
+
 def repair_lexicon(spark, sf_dir):
-    return flows.repair(fixture.nodes(spark, sf_dir), stub_labeller, new_path(spark, "repair"))[0]
+    return _repaired(spark, sf_dir)[0]
 
 
 def repair_counts(spark, sf_dir):
     """Parts of speech of the labels that the repair brought in."""
-    return lexicon.pos_counts(flows.repair(fixture.nodes(spark, sf_dir), stub_labeller, new_path(spark, "repair"))[1])
+    return lexicon.pos_counts(_repaired(spark, sf_dir)[1])
+
+
+def repair_pos_counts(spark, sf_dir):
+    return _repaired(spark, sf_dir)[2]["pos_counts"]
+
+
+def repair_sentiment_counts(spark, sf_dir):
+    return _repaired(spark, sf_dir)[2]["sentiment_counts"]
+
+
+def repair_word_sentiment(spark, sf_dir):
+    return _repaired(spark, sf_dir)[2]["word_sentiment"]
 
 
 QUERIES = {
@@ -325,11 +388,12 @@ QUERIES = {
     for query in (
         tokens, tokens_glued, article_words, clean_words, word_freq, word_freq_by_token, vocab_size, top_words,
         bottom_words, hapax_words, words_union, merge_counts, positive_views, csv_roundtrip, page_ids_range,
-        page_fields, page_comments, page_titles, page_text, page_links, api_search_titles, api_page_extracts,
-        pages_to_messages, stream_words, stream_word_freq, numbered_words, label_batches, label_prompts, label_rows,
+        page_fields, page_comments, forum_fields, forum_comments, page_rejects, page_titles, page_text, page_links, api_search_titles, api_page_extracts,
+        pages_to_messages, stream_words, stream_word_freq, stream_csv_words, numbered_words, label_batches, label_prompts, label_rows,
         label_rows_strict, label_rejects, usable_words, valid_labels, lexicon_nodes, lexicon_nodes_keep,
         lexicon_edges, lexicon_coverage, pos_counts, sentiment_counts, word_sentiment, lookup_words, neighbours_out,
         word_profile, neighbour_sets, neighbour_parts, network_edges, network_first_words, components, modularity,
-        themes, words_missing_props, repair_lexicon, repair_counts,
+        themes, antonym_components, antonym_themes, planted_components, planted_themes, words_missing_props,
+        repair_lexicon, repair_counts, repair_pos_counts, repair_sentiment_counts, repair_word_sentiment,
     )
 }

@@ -8,18 +8,18 @@ def _strings(*names: str) -> T.StructType:
 
 
 ARTICLE = T.StructType([
-    T.StructField("AID", T.IntegerType()),
+    T.StructField("AID", T.LongType()),
     T.StructField("Title", T.StringType()),
     T.StructField("Date", T.StringType()),
     T.StructField("Publisher", T.StringType()),
-    T.StructField("Views", T.IntegerType()),
-    T.StructField("Comments_Count", T.IntegerType()),
+    T.StructField("Views", T.LongType()),
+    T.StructField("Comments_Count", T.LongType()),
     T.StructField("Content", T.StringType()),
 ])
 
 COMMENT = T.StructType([
-    T.StructField("AID", T.IntegerType()),
-    T.StructField("Comment_ID", T.IntegerType()),
+    T.StructField("AID", T.LongType()),
+    T.StructField("Comment_ID", T.LongType()),
     T.StructField("User", T.StringType()),
     T.StructField("Comment_Text", T.StringType()),
 ])
@@ -29,6 +29,12 @@ PAGE_RECORD = T.StructType([
     T.StructField("Comments", T.ArrayType(COMMENT)),
 ])
 
+FLAT_PAGE = T.StructType([
+    T.StructField("title", T.StringType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("links", T.ArrayType(_strings("href", "label"))),
+])
+
 MESSAGE = _strings("Title", "Content")
 
 SEARCH_RESPONSE = T.StructType([
@@ -45,3 +51,8 @@ PAGES_RESPONSE = T.StructType([
 
 LABEL_FIELDS = ("word", "definition", "antonym", "synonym", "pos", "sentiment")
 LABEL_TEXT = _strings(*LABEL_FIELDS)
+
+ANSWER = T.StructType([
+    T.StructField("batch_id", T.LongType()),
+    *_strings("batch_key", "response", "error"),
+])

@@ -16,11 +16,16 @@ CSV_OPTIONS = {
 }
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 100_000) -> None:
-    """Quoted CSV with header. A file with line breaks in values has one reader, so files are kept small."""
+def write_csv(df: DataFrame, path: str, bytes_per_file: int = 64 << 20) -> None:
+    """Quoted CSV with header. A file with line breaks in values has one reader, so files are kept small.
+
+    The rows a file may have follow from the mean size of a row, which takes a pass over the table.
+    """
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 3 for c in df.columns), F.lit(0))
+    mean = df.agg(F.coalesce(F.avg(size), F.lit(1.0))).first()[0]
     (
         df.write.mode("overwrite").options(**CSV_OPTIONS)
-        .option("quoteAll", True).option("maxRecordsPerFile", rows_per_file).csv(path)
+        .option("quoteAll", True).option("maxRecordsPerFile", max(1, int(bytes_per_file / max(mean, 1.0)))).csv(path)
     )
 
 
@@ -49,13 +54,56 @@ def write_counts(df: DataFrame, path: str, run_id: int | str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
-def read_counts(spark: SparkSession, path: str, key: str = "word", count: str = "frequency") -> DataFrame:
-    """Counts added up over all stored runs; nothing stored yet gives no rows."""
-    schema = f"{key} string, {count} bigint, run_id string"
+def stored_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """The table at ``path``, or None if nothing is stored there yet."""
     try:
-        stored = spark.read.schema(schema).option("basePath", path).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        stored = rows(spark, [], schema)
-    return stored.groupBy(key).agg(F.sum(count).alias(count))
+        return None
+
+
+_MARK = "upto bigint, folder string"
+
+
+def _last_fold(spark: SparkSession, path: str):
+    marks = stored_or_none(spark, f"{path}-marks", _MARK)
+    return marks.orderBy(F.desc("upto")).first() if marks is not None else None
+
+
+def read_counts(spark: SparkSession, path: str, key: str = "word", count: str = "frequency") -> DataFrame:
+    """Counts added up over all stored runs; nothing stored yet gives no rows.
+
+    Where :func:`fold_counts` has folded runs, their sum is read instead of them.
+    """
+    schema = f"{key} string, {count} bigint, run_id string"
+    runs = stored_or_none(spark, path, schema)
+    runs = rows(spark, [], schema) if runs is None else runs
+    fold = _last_fold(spark, path)
+    if fold is not None:
+        folded = spark.read.schema(f"{key} string, {count} bigint").parquet(fold.folder)
+        runs = runs.where(F.col("run_id").cast("bigint") > fold.upto).select(key, count).unionByName(folded)
+    return runs.groupBy(key).agg(F.sum(count).alias(count))
+
+
+def fold_counts(spark: SparkSession, path: str, upto: int, key: str = "word", count: str = "frequency") -> None:
+    """Fold all runs numbered up to ``upto`` into one table, so that reading does not grow with the number of runs.
+
+    The sum goes to a folder of its own and counts only once its mark is written; a fold that broke off leaves no trace in
+    the counts, and folding again up to the same or an earlier run changes nothing. Runs that were folded may be deleted.
+    """
+    fold = _last_fold(spark, path)
+    if fold is not None and fold.upto >= upto:
+        return
+    schema = f"{key} string, {count} bigint, run_id string"
+    runs = stored_or_none(spark, path, schema)
+    if runs is None:
+        return
+    number = F.col("run_id").cast("bigint")
+    part = runs.where((number <= upto) & (number > (-1 if fold is None else fold.upto))).select(key, count)
+    if fold is not None:
+        part = part.unionByName(spark.read.schema(f"{key} string, {count} bigint").parquet(fold.folder))
+    folder = f"{path}-folded/upto={upto}"
+    part.groupBy(key).agg(F.sum(count).alias(count)).write.mode("overwrite").parquet(folder)
+    rows(spark, [(upto, folder)], _MARK).write.mode("append").parquet(f"{path}-marks")

@@ -17,11 +17,13 @@ def from_messages(messages: DataFrame) -> DataFrame:
     return messages.select(decoded.alias("data")).select("data.*")
 
 
-def search_titles(responses: DataFrame, limit: int = 100) -> DataFrame:
-    """The listed titles of each search response, in listed order and at most ``limit`` of them."""
+def search_titles(responses: DataFrame, limit: int | None = None) -> DataFrame:
+    """The listed titles of each search response in listed order: all of them, or the first ``limit``."""
     hits = F.from_json("response", SEARCH_RESPONSE)["query"]["search"]
+    if limit is not None:
+        hits = F.slice(hits, 1, limit)
     return (
-        responses.select("response_id", F.posexplode(F.slice(hits, 1, limit)).alias("position", "hit"))
+        responses.select("response_id", F.posexplode(hits).alias("position", "hit"))
         .select("response_id", "position", F.col("hit.title").alias("title"))
     )
 

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wordloom.functions.text import ASCII, Profile
 from wordloom.operators.words import text_words, word_freq
-from wordloom.sources.files import read_counts, write_counts
+from wordloom.sources.files import fold_counts, read_counts, write_counts
 from wordloom.sources.messages import from_messages
 
 
@@ -57,6 +57,15 @@ def count_sink(path: str) -> Callable[[DataFrame, int], None]:
     return lambda batch, batch_id: write_counts(word_freq(batch), path, batch_id)
 
 
+def fold_sink(path: str, every: int = 1000) -> Callable[[DataFrame, int], None]:
+    """Folds the counts of earlier batches whenever ``every`` more have come; a replay folds nothing twice."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % every == 0:
+            fold_counts(batch.sparkSession, path, batch_id - 1)
+
+    return sink
+
+
 def console_sink(rows: int = 20) -> Callable[[DataFrame, int], None]:
     """Prints the first rows of each batch, for debugging."""
     return lambda batch, batch_id: batch.show(rows)
@@ -75,7 +84,14 @@ def console_stream(words: DataFrame, interval: str | None = None) -> StreamingQu
     return words.writeStream.outputMode("append").format("console").trigger(**_trigger(interval)).start()
 
 
-def stream_word_freq(spark: SparkSession, messages: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Run the message stream to its current end and return the accumulated frequencies."""
-    write_stream(message_words(messages), checkpoint, count_sink(path)).awaitTermination()
+def stream_word_freq(spark: SparkSession, messages: DataFrame, path: str, checkpoint: str, *more_sinks,
+                     fold_every: int | None = None) -> DataFrame:
+    """Run the message stream to its current end and return the accumulated frequencies.
+
+    ``more_sinks`` get the same micro-batches. ``fold_every`` folds the stored counts each time so many have come.
+    """
+    sinks = [count_sink(path), *more_sinks]
+    if fold_every:
+        sinks.append(fold_sink(path, fold_every))
+    write_stream(message_words(messages), checkpoint, *sinks).awaitTermination()
     return read_counts(spark, path)
