@@ -288,7 +288,7 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", name: str = "ids"
 
         return each
 
-    return map_batches(df, work, f"`{name}` array<int>", keep)
+    return map_batches(df, work, f"`{name}` array<int>", keep, rows=None)
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", name: str = "decoded", keep: list[str] | None = None) -> DataFrame:

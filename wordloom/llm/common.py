@@ -22,8 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def slices(values, rows: int = 256) -> Iterator:
-    """An Arrow array in slices, so that Python objects exist for a few rows at a time."""
-    for start in range(0, len(values), rows):
+    """An Arrow array or batch in slices, so that Python objects exist for a few rows at a time."""
+    size = values.num_rows if isinstance(values, pa.RecordBatch) else len(values)
+    for start in range(0, size, rows):
         yield values.slice(start, rows)
 
 
@@ -53,10 +54,12 @@ def word_blocks(text: bytes | None, size: int = BLOCK_BYTES) -> Iterator[list[by
         start = end
 
 
-def map_batches(df: DataFrame, work: Callable, fields: str, keep: list[str] | None = None) -> DataFrame:
+def map_batches(df: DataFrame, work: Callable, fields: str, keep: list[str] | None = None,
+                rows: int | None = 1024) -> DataFrame:
     """``keep`` columns of ``df`` as they are, then the columns of ``fields`` that ``work`` makes of each batch.
 
-    ``work`` is called once a task and returns a function from a record batch to a list of Arrow arrays.
+    ``work`` is called once a task and returns a function from a record batch to a list of Arrow arrays. It gets at most
+    ``rows`` rows at a time, which bounds what it holds as Python objects.
     """
     kept = df.columns if keep is None else keep
     added = T.StructType.fromDDL(fields)
@@ -65,8 +68,8 @@ def map_batches(df: DataFrame, work: Callable, fields: str, keep: list[str] | No
 
     def run(batches):
         each = work()
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in slices(whole, rows or max(whole.num_rows, 1)):
                 columns = [batch.column(i) for i in places] + each(batch)
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
