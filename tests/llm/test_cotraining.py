@@ -48,7 +48,7 @@ def test_text_view_counts():
     view = cotraining.TextView(cotraining.Spec(text_buckets=64))
     buckets, n = view("Ab ab ab!\nx\nx".encode())
     assert n[-4:].tolist() == [1, 4, 1, 2]  # words like the one before, others, repeated lines, others
-    assert n[:-4].sum() == 10 and list(buckets[-4:]) == [60, 61, 62, 63]
+    assert n[:-4].sum() == 10 and list(buckets[-4:]) == [60, 61, 62, 63] and view("Ab ab ab!\nx\nx".encode())[1].tolist() == n.tolist()
     assert [len(a) for a in view(b" \n ")] == [len(a) for a in view(None)] == [0, 0]
 
 
@@ -82,14 +82,17 @@ def test_a_view_learns_from_the_other_ones_labels(spark):
     docs, labels = two_views(spark)
     probe = spark.createDataFrame([(1000, "sound neat tidy " * 10, *(None,) * 13), (1001, "grim dull vile " * 10, *(None,) * 13)], SCHEMA)
     spec = cotraining.Spec(text_buckets=1 << 10, meta_buckets=1 << 6, sure=0.9)
-    alone = cotraining.train(docs, labels, cotraining.Spec(**{**vars(spec), "rounds": 0}))
-    together = cotraining.train(docs, labels, spec)
+    alone, _ = cotraining.train(docs, labels, cotraining.Spec(**{**vars(spec), "rounds": 0}))
+    together, features = cotraining.train(docs, labels, spec)
 
     def gap(model):
         p = {r._id: r.p_text for r in cotraining.scored(probe, model, {"_id": "doc_id"}).collect()}
         return p[1000] - p[1001]
 
     assert gap(together) > 0.9 > gap(alone)
+    # Scores from written features are those from the texts.
+    written = {r._keep_id: r.score for r in cotraining.scored_features(features, together, ["_keep_id"]).collect()}
+    assert written == {r._id: r.score for r in cotraining.scored(docs, together, {"_id": "doc_id"}).collect()}
 
 
 def test_accuracy_on_labels_held_back(spark):

@@ -13,13 +13,14 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import byte_texts, map_batches, quoted, remainder, word_blocks
+from wordloom.llm.common import BLOCK_BYTES, byte_texts, map_batches, quoted, remainder, word_blocks
 from wordloom.sources.workspace import staged
 
-_WORDS_KEPT = 300_000
+_WORDS_KEPT = 200_000
 
 
 @dataclass(frozen=True)
@@ -52,39 +53,45 @@ def _shape(word: bytes) -> bytes:
     return bytes(out)
 
 
+class _Places(dict):
+    """Words by number; a new word gets the next number and its two buckets. Holds a bounded number of words."""
+
+    def __init__(self, half: int):
+        self.half = half
+        self.buckets = np.zeros((2, _WORDS_KEPT + BLOCK_BYTES), np.int32)
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.buckets[:, number] = zlib.crc32(word.lower()) % self.half, self.half + zlib.crc32(_shape(word)) % (self.half - 4)
+        return number
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > _WORDS_KEPT:
+            self.clear()
+        return self.buckets[:, np.fromiter(map(self.__getitem__, words), np.int64, len(words))].reshape(-1)
+
+
 class TextView:
     """Hashed words and word shapes of a text; words that repeat the one before, lines that repeat an earlier one."""
 
     def __init__(self, spec: Spec):
-        self.half, self.known = spec.text_buckets // 2, {}
-
-    def _places(self, word: bytes) -> tuple[int, int]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > _WORDS_KEPT:
-                self.known.clear()
-            found = self.known[word] = (zlib.crc32(word.lower()) % self.half, self.half + zlib.crc32(_shape(word)) % (self.half - 4))
-        return found
+        self.size, self.places = spec.text_buckets, _Places(spec.text_buckets // 2)
 
     def __call__(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         """``(bucket, n)``; empty for texts without words."""
-        counts: Counter = Counter()
-        again = 0
+        sums, again, count = np.zeros(self.size, np.int64), 0, 0
         for words in word_blocks(text):
-            counts.update(words)
+            sums += np.bincount(self.places.of(words), minlength=self.size)
             again += sum(map(eq, words, words[1:]))
-        if not counts:
-            return np.zeros(0, np.int32), np.zeros(0, np.int32)
+            count += len(words)
+        if not count:
+            return np.zeros(0, np.uint16), np.zeros(0, np.uint32)
         lines = Counter(line for line in text.split(b"\n") if line and not line.isspace())
         repeats = sum(n - 1 for n in lines.values())
-        pairs = np.array([self._places(w) for w in counts], np.int64)
-        n = np.fromiter(counts.values(), np.int64, len(counts))
-        sums = np.bincount(pairs.reshape(-1), weights=np.repeat(n, 2))
-        buckets = np.flatnonzero(sums)
         # The last four buckets: words and lines that repeat and that do not, so that the shares are features too.
-        extra = [again, int(n.sum()) - again, repeats, sum(lines.values()) - repeats]
-        return (np.concatenate([buckets, np.arange(2 * self.half - 4, 2 * self.half)]).astype(np.int32),
-                np.concatenate([sums[buckets], extra]).astype(np.int32))
+        sums[-4:] = again, count - again, repeats, sum(lines.values()) - repeats
+        buckets = np.flatnonzero(sums)
+        return buckets.astype(np.uint16), sums[buckets].astype(np.uint32)
 
 
 def meta_places(source: str | None, lang: str | None, n_chars: int | None, spec: Spec) -> list[int]:
@@ -168,8 +175,11 @@ class Model:
 
 
 def _segment_sums(values: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    running = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
-    return running[stops] - running[starts]
+    """Sums of adjoining segments, each by itself, so that a row's score does not depend on the rows beside it."""
+    out, filled = np.zeros(len(starts)), stops > starts
+    if filled.any():
+        out[filled] = np.add.reduceat(values, starts[filled])
+    return out
 
 
 @dataclass
@@ -181,21 +191,32 @@ class Features:
     places: np.ndarray
 
 
-_FEATURES_DDL = "buckets array<int>, n array<int>, places array<int>"
+#: Sparse features as bytes: buckets are two-byte, numbers four-byte integers.
+_FEATURES_DDL = "buckets binary, n binary, places array<int>"
+
+
+def _bytes(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([a.nbytes for a in arrays]))).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(arrays), [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate(arrays))])
 
 
 def _features(batch: pa.RecordBatch, columns: list[int], view: TextView, spec: Spec) -> list[pa.Array]:
     text, source, lang, n_chars = (batch.column(c) for c in columns)
     buckets, n = zip(*map(view, byte_texts(text)))
-    offsets = pa.array(np.concatenate(([0], np.cumsum([len(b) for b in buckets]))).astype(np.int32))
     places = [meta_places(s, g, c, spec) for s, g, c in zip(source.to_pylist(), lang.to_pylist(), n_chars.to_pylist())]
-    return [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(buckets))),
-            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(n))), pa.array(places, pa.list_(pa.int32()))]
+    return [_bytes(buckets), _bytes(n), pa.array(places, pa.list_(pa.int32()))]
+
+
+def _numbers(column: pa.Array, kind: str) -> np.ndarray:
+    """The numbers of all rows of a binary column, one row after the other."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]].view(kind)
 
 
 def _read(buckets: pa.Array, n: pa.Array, places: pa.Array) -> Features:
-    offsets = buckets.offsets.to_numpy() - buckets.offsets[0].as_py()
-    return Features(buckets.flatten().to_numpy(), n.flatten().to_numpy(), offsets[:-1], offsets[1:],
+    sizes = pc.binary_length(buckets).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+    stops = np.cumsum(sizes)
+    return Features(_numbers(buckets, "<u2"), _numbers(n, "<u4"), stops - sizes, stops,
                     places.flatten().to_numpy().reshape(len(buckets), -1))
 
 
@@ -313,21 +334,22 @@ def _with_labels(docs: DataFrame, labels: DataFrame, spec: Spec) -> DataFrame:
     share = F.avg("quality")
     once = labels.select(F.col("doc_id").alias("_keep_id"), "quality").where("_keep_id IS NOT NULL AND quality IS NOT NULL")
     once = once.groupBy("_keep_id").agg(F.when(share > 0.5, 1).when(share < 0.5, 0).alias("good"))
-    # Written first, so that the join shuffles both sides itself and Spark can split a hot id.
-    joined = docs.join(staged(once, "labels"), "_keep_id", "left")
+    # Written first, so that the join shuffles both sides itself and Spark can split a hot id. Labels grow with the
+    # documents, so they are never broadcast.
+    joined = docs.join(staged(once, "labels").hint("merge"), "_keep_id", "left")
     folded = remainder("_keep_id", spec.calibration_folds) == 0
     return joined.select(
         *docs.columns, F.when(F.col("good").isNotNull() & folded, 2).otherwise(F.col("good")).cast("int").alias("label"),
         F.col("good").cast("bigint").alias("held"))
 
 
-def train(docs: DataFrame, labels: DataFrame, spec: Spec = Spec(), doc_id: str = "doc_id") -> Model:
-    """Both views after ``spec.rounds`` rounds of exchanging labels over all documents.
+def train(docs: DataFrame, labels: DataFrame, spec: Spec = Spec(), doc_id: str = "doc_id") -> tuple[Model, DataFrame]:
+    """The model, and the features of all documents with their ids in ``_keep_id``: both views after ``spec.rounds`` rounds of exchanging labels over all documents.
 
     Without labelled documents of both classes nothing can be learnt: every document then gets the same score.
     """
     features = featurised(_views(docs, {"_keep_id": doc_id}), spec, ["_keep_id"])
-    features = staged(_with_labels(features, labels, spec).drop("_keep_id"), "labelled-features")
+    features = staged(_with_labels(features, labels, spec), "labelled-features")
     model = None
     for _ in range(spec.rounds + 1):
         text, meta = _sums(features, model, spec)
@@ -336,31 +358,50 @@ def train(docs: DataFrame, labels: DataFrame, spec: Spec = Spec(), doc_id: str =
         model = Model(spec, _view(text, spec), _view(meta, spec), Calibration(), Calibration(), prior)
         if known.min() < 1:
             model.text_calibration = model.meta_calibration = Calibration(0.0, prior)
-            return model
+            break
         model.text_calibration, model.meta_calibration = _calibrations(features, model)
-    return model
+    return model, features
 
 
-def scored(docs: DataFrame, model: Model, keep: dict[str, str]) -> DataFrame:
-    """Columns ``keep`` (by new name) with ``p_text``, ``p_meta`` and ``score``, straight from the texts."""
-    own = _views(docs, keep)
-    columns = [own.columns.index(c) for c in ("_text", "_source", "_lang", "_n_chars")]
-    spec = model.spec
-    shared = docs.sparkSession.sparkContext.broadcast((model.text.weights, model.meta.weights))
-    rest = (model.text_calibration, model.meta_calibration, model.prior_logit)
+def _scores(df: DataFrame, model: Model, read, keep: list[str]) -> DataFrame:
+    """``keep`` columns with ``p_text``, ``p_meta`` and ``score``; ``read`` makes a function from a batch to features."""
+    shared = df.sparkSession.sparkContext.broadcast((model.text.weights, model.meta.weights))
+    rest = (model.spec, model.text_calibration, model.meta_calibration, model.prior_logit)
 
     def work():
-        view, (text, meta) = TextView(spec), shared.value
-        known = Model(spec, _Weights(text), _Weights(meta), *rest)
+        (text, meta), (spec, of_text, of_meta, prior) = shared.value, rest
+        known, features = Model(spec, _Weights(text), _Weights(meta), of_text, of_meta, prior), read()
 
         def each(batch):
-            part = _read(*_features(batch, columns, view, spec))
+            part = features(batch)
             p_text, p_meta = (1 / (1 + np.exp(-x)) for x in known.logits(part))
             return [pa.array(x) for x in (p_text, p_meta, known.combined(part))]
 
         return each
 
-    return map_batches(own, work, "p_text double, p_meta double, score double", list(keep))
+    return map_batches(df, work, "p_text double, p_meta double, score double", keep)
+
+
+def scored_features(features: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """Scores from features that are written already."""
+    columns = [features.columns.index(c) for c in ("buckets", "n", "places")]
+
+    def read():
+        return lambda batch: _read(*(batch.column(c) for c in columns))
+
+    return _scores(features, model, read, keep)
+
+
+def scored(docs: DataFrame, model: Model, keep: dict[str, str]) -> DataFrame:
+    """Columns ``keep`` (by new name) with the scores, straight from the texts."""
+    own, spec = _views(docs, keep), model.spec
+    columns = [own.columns.index(c) for c in ("_text", "_source", "_lang", "_n_chars")]
+
+    def read():
+        view = TextView(spec)
+        return lambda batch: _read(*_features(batch, columns, view, spec))
+
+    return _scores(own, model, read, list(keep))
 
 
 @dataclass
@@ -375,13 +416,13 @@ def classify(docs: DataFrame, labels: DataFrame, spec: Spec = Spec(), threshold:
     unlabelled. ``kept`` says whether ``score``, the probability of good, reaches ``threshold``. Null and empty texts are
     judged by their metadata, null metadata has its own features. An empty table gives an empty result.
     """
-    model = train(docs, labels, spec, doc_id)
-    return scored(docs, model, {"_keep_id": doc_id}).select(
+    model, features = train(docs, labels, spec, doc_id)
+    return scored_features(features, model, ["_keep_id"]).select(
         F.col("_keep_id").alias("doc_id"), "p_text", "p_meta", "score", (F.col("score") >= threshold).alias("kept"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, spec: Spec = Spec(), threshold: float = 0.5, doc_id: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that :func:`classify` keeps, with their own columns, whatever those are called."""
-    model = train(docs, labels, spec, doc_id)
+    model, _ = train(docs, labels, spec, doc_id)
     kept = {f"_keep{i}": c for i, c in enumerate(docs.columns)}
     return scored(docs, model, kept).where(F.col("score") >= threshold).select(*kept).toDF(*docs.columns)
