@@ -29,7 +29,8 @@ def _merge_round(links: DataFrame, degrees: DataFrame, total: int, store: Store)
     """``(x, root)`` for the groups that change in this round; empty when no merge helps.
 
     Every group looks at its best partner; ties are broken by hash, so that along a path of equals many pairs choose
-    each other and not only the first. Such pairs merge, and groups whose choice is in such a pair may join it.
+    each other and not only the first. Such pairs merge, and groups whose choice is in such a pair may join it if
+    they gain at least half of what the pair gains; else they wait, as better merges of their partner come first.
     Joining is decided per pair on nested subsets of the followers (all, about a half, a quarter, ...): the largest
     subset under which modularity does not fall joins. Subset sums are aggregates over at most 64 levels, so a hub
     with any number of followers is no problem for one task.
@@ -45,20 +46,20 @@ def _merge_round(links: DataFrame, degrees: DataFrame, total: int, store: Store)
     ends = scored.select(_both_ends("n", "loss"))
     lo, hi = F.least("x", "y"), F.greatest("x", "y")
     order = F.struct("loss", F.xxhash64(lo, hi), lo, hi)
-    best = ends.groupBy("x").agg(F.min_by(F.struct("y", "n"), order).alias("b")).select("x", "b.*")
+    best = ends.groupBy("x").agg(F.min_by(F.struct("y", "n", "loss"), order).alias("b")).select("x", "b.*")
     best = store(best, "best")
     choice = best.select(F.col("x").alias("y"), F.col("y").alias("back"))
     # Written, so that the next join on the same column shuffles anew and Spark can split a hub's partition.
     decided = store(best.join(choice, "y").withColumn("mutual", F.col("back") == F.col("x")), "decided")
-    pairs = decided.where("mutual").select("x", F.least("x", "y").alias("root"), "n")
-    joined = pairs.select(F.col("x").alias("y"), "root")
+    pairs = decided.where("mutual").select("x", F.least("x", "y").alias("root"), "n", "loss")
+    joined = pairs.select(F.col("x").alias("y"), "root", F.col("loss").alias("pair_loss"))
     level = F.length(F.regexp_extract(F.bin(F.xxhash64("x")), "0*$", 0))
-    followers = decided.where("NOT mutual").select("x", "y", "n").join(joined, "y").select(
-        "x", "root", "n", level.alias("level"))
+    followers = decided.where("NOT mutual").select("x", "y", "n", "loss").join(joined, "y").where(
+        "2 * loss <= pair_loss").select("x", "root", "n", level.alias("level"))
     # A pair's edge is seen from both members; it counts once.
     weight = F.when(F.col("level").isNull(), F.col("n") / 2).otherwise(F.col("n"))
     sums = (
-        followers.unionByName(pairs.withColumn("level", F.lit(None).cast("int")))
+        followers.unionByName(pairs.drop("loss").withColumn("level", F.lit(None).cast("int")))
         .join(dx, "x").groupBy("root", "level")
         .agg(F.sum(weight).cast("bigint").alias("n"), F.sum("dx").alias("d"),
              F.sum(_big("dx") * _big("dx")).alias("d2"))
