@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,8 +123,10 @@ def sure_label(value: str, before: str) -> int | None:
 
 def dictionary_words(docs: DataFrame, words: int = 20_000) -> frozenset[str]:
     """The most frequent words of 4 to 12 letters over all texts: at most ``words``."""
-    counts = word_counts(docs, F.col("word").rlike(r"^\p{L}{4,12}$"))
-    found, _ = head_words(staged(counts, "letter-words"), lm.Spec(head=words))
+    # Read twice and never again: kept by the executors instead of written; lost parts are counted anew.
+    counts = word_counts(docs, F.col("word").rlike(r"^\p{L}{4,12}$")).persist(StorageLevel.DISK_ONLY)
+    found, _ = head_words(counts, lm.Spec(head=words))
+    counts.unpersist()
     return frozenset(w.decode() for w in found)
 
 
