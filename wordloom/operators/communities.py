@@ -8,9 +8,8 @@ that is not linked to x or y, so merges that do not touch can happen together.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.operators.network import Store
 from wordloom.operators.numbering import number_rows
-from wordloom.sources.workspace import round_tables, staged
+from wordloom.sources.workspace import RoundTables, staged
 
 
 def _both_ends(*carried: str) -> Column:
@@ -25,7 +24,7 @@ def _big(column: str) -> Column:
     return F.col(column).cast("decimal(19,0)")
 
 
-def _merge_round(links: DataFrame, degrees: DataFrame, total: int, store: Store) -> DataFrame:
+def _merge_round(links: DataFrame, degrees: DataFrame, total: int, store: RoundTables) -> DataFrame:
     """``(x, root)`` for the groups that change in this round; empty when no merge helps.
 
     Every group looks at its best partner; ties are broken by hash, so that along a path of equals many pairs choose
@@ -79,7 +78,7 @@ def merge_in_rounds(pairs: DataFrame) -> DataFrame:
 
     A theme is named by its smallest word. Modularity never falls, and at the end no merge would raise it.
     """
-    store = round_tables(pairs.sparkSession)
+    store = RoundTables(pairs.sparkSession)
     links = store(pairs.toDF("x", "y").withColumn("n", F.lit(1).cast("bigint")), "links")
     total = links.count()
     degrees = links.select(_both_ends("n")).groupBy(F.col("x").alias("g")).agg(F.sum("n").alias("degree"))
@@ -100,6 +99,8 @@ def merge_in_rounds(pairs: DataFrame) -> DataFrame:
         degrees = store(moved(degrees, "g").groupBy("g").agg(F.sum("degree").alias("degree")), "degrees")
         groups = store(moved(groups, "theme"), "groups")
     names = store(groups.groupBy("theme").agg(F.min("word").alias("name")), "names")
+    # Without any merge the groups are read from the degrees.
+    store.finish("groups", "names", "degrees")
     return groups.join(names, "theme").select("word", F.col("name").alias("theme"))
 
 

@@ -1,12 +1,10 @@
 """Synonym and antonym networks as edge tables."""
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.operators.numbering import collect_in_parts, ordered_ids
-from wordloom.sources.workspace import round_tables, staged
+from wordloom.sources.workspace import RoundTables, staged
 
 
 def both_ways(edges: DataFrame, rel: str) -> DataFrame:
@@ -51,10 +49,7 @@ def _ends(pairs: DataFrame, x: str, y: str) -> DataFrame:
         F.struct(F.col("a").alias(x), F.col("b").alias(y)), F.struct(F.col("b").alias(x), F.col("a").alias(y)))))
 
 
-Store = Callable[[DataFrame, str], DataFrame]
-
-
-def _large_star(pairs: DataFrame, store: Store) -> DataFrame:
+def _large_star(pairs: DataFrame, store: RoundTables) -> DataFrame:
     """Link every larger neighbour of a node to the smallest among the node and its neighbours."""
     around = _ends(pairs, "u", "v")
     smallest = around.groupBy("u").agg(F.min("v").alias("_min")).select("u", F.least("u", "_min").alias("m"))
@@ -62,7 +57,7 @@ def _large_star(pairs: DataFrame, store: Store) -> DataFrame:
     return around.where("v > u").join(smallest, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
 
 
-def _small_star(pairs: DataFrame, store: Store) -> DataFrame:
+def _small_star(pairs: DataFrame, store: RoundTables) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them; pairs are ``a < b``."""
     smallest = store(pairs.groupBy("b").agg(F.min("a").alias("m")), "smallest")
     linked = pairs.join(smallest, "b").select(F.col("m").alias("a"), F.col("a").alias("b")).where("a != b")
@@ -85,13 +80,14 @@ def star_links(pairs: DataFrame) -> DataFrame:
     written to the shared folder, so a lost executor never sets a round back, no plan grows with the rounds, and the
     joins shuffle both sides themselves, which is what lets Spark split the partition of a hub.
     """
-    store = round_tables(pairs.sparkSession)
+    store = RoundTables(pairs.sparkSession)
     stars = store(pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "stars")
     while True:
         stars = store(_large_star(stars, store), "stars")
         stars = store(_small_star(stars, store), "stars")
         if _are_stars(stars):
             break
+    store.finish("stars")
     centres = stars.select(F.col("a").alias("id"), F.col("a").alias("centre")).distinct()
     return stars.select(F.col("b").alias("id"), F.col("a").alias("centre")).unionByName(centres)
 

@@ -3,7 +3,6 @@
 import tempfile
 import uuid
 from collections import Counter
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,18 +40,31 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return written(df, new_path(df.sparkSession, name))
 
 
-def round_tables(spark: SparkSession) -> Callable[[DataFrame, str], DataFrame]:
+class RoundTables:
     """Like :func:`staged`, for loops in which each result depends on the one before.
 
-    The results of one name go to two folders in turn, so that a loop of any length keeps two of them.
+    The results of one name go to two folders in turn, so that a loop of any length keeps two of them; :meth:`finish`
+    deletes those that nothing reads any more.
     """
-    base, turns = new_path(spark, "rounds"), Counter()
 
-    def store(df: DataFrame, name: str) -> DataFrame:
-        turns[name] += 1
-        return written(df, f"{base}/{name}-{turns[name] % 2}")
+    def __init__(self, spark: SparkSession):
+        self._spark, self._base, self._turns = spark, new_path(spark, "rounds"), Counter()
 
-    return store
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        self._turns[name] += 1
+        return written(df, self._path(name, self._turns[name]))
+
+    def _path(self, name: str, turn: int) -> str:
+        return f"{self._base}/{name}-{turn % 2}"
+
+    def finish(self, *kept: str) -> None:
+        """Delete all tables but the last of each name in ``kept``. Missing ones are no error."""
+        path = self._spark._jvm.org.apache.hadoop.fs.Path
+        files = path(self._base).getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf())
+        last = {self._path(name, self._turns[name]) for name in kept}
+        for name, turns in self._turns.items():
+            for folder in {self._path(name, t) for t in (turns, turns - 1)} - last:
+                files.delete(path(folder), True)
 
 
 def spread(df: DataFrame) -> DataFrame:
