@@ -1,4 +1,10 @@
-"""From raw documents to packed training sequences: five stages, each written as Parquet and read again by the next."""
+"""From raw documents to packed training sequences: five stages, each written as Parquet and read again by the next.
+
+Every stage works on all rows of the one before, whatever further columns they have and whatever those are called. Null ids
+are kept apart from each other only where their texts differ; null, empty and blank texts are judged like any others (the
+quality rules reject them, as they have under 50 words); repeated rows fall together in the near-dedup, which keeps the
+first; an empty table stays empty to the end.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 

@@ -41,7 +41,7 @@ Candidate = tuple[int, int]
 def candidates(text: str) -> Iterator[Candidate]:
     """``(start, end)`` of what could be a secret: runs of key characters that have a digit or both cases; key blocks.
 
-    A trailing full stop or ``=`` before a quote stays outside, and ``name=value`` is cut behind its first ``=``.
+    A trailing full stop stays outside, and ``name=value`` is cut behind its first ``=``.
     """
     for found in _RUN.finditer(text):
         start, end = found.span()
@@ -53,10 +53,15 @@ def candidates(text: str) -> Iterator[Candidate]:
         value = text[start:end]
         if end - start >= 12 and (any(c.isdigit() for c in value) or (value != value.lower() and value[1:] != value[1:].lower() and not value.isupper())):
             yield start, end
-    if "-----BEGIN " in text:
-        for found in _BLOCK.finditer(text):
-            close = text.find("-----END", found.end())
-            yield found.start(), len(text) if close < 0 else min(len(text), (text.find("-----", close + 5) + 5) or len(text))
+    at, closing = 0, 0
+    while found := _BLOCK.search(text, at):
+        closing = text.find("-----END", found.end()) if closing >= 0 else -1
+        if closing >= 0:
+            at = (text.find("-----", closing + 5) + 5) if text.find("-----", closing + 5) >= 0 else len(text)
+        else:  # an open block ends where the next one begins; no closing mark can follow any more
+            following = text.find("-----BEGIN ", found.end())
+            at = following if following >= 0 else len(text)
+        yield found.start(), at
 
 
 def _kinds(value: str) -> np.ndarray:
