@@ -87,7 +87,13 @@ def test_lookups(spark):
     nodes, edges = X.lexicon_nodes(table), X.lexicon_edges(table)
     keys = rows(spark, [("a",), ("a",), ("zz",), ("c",)], "word string")
     assert rows_of(X.lookup_words(keys, nodes)) == [("a", "A", "kata nama")] * 2 + [("c", None, None)]
-    assert rows_of(X.neighbours_out(keys, edges, X.SYNONYM)) == [("a", "b")] * 2
+    assert rows_of(X.neighbours_out(keys, edges, X.SYNONYM)) == [("a", "b")]
+
+
+def test_neighbours_do_not_multiply_with_repeated_keys(spark):
+    keys = rows(spark, [("hub",)] * 300, "word string")
+    edges = rows(spark, [("hub", X.SYNONYM, f"w{i}") for i in range(300)], "src string, rel string, dst string")
+    assert X.neighbours_out(keys, edges, X.SYNONYM).count() == 300
 
 
 def test_profile_of_known_and_unknown_words(spark):

@@ -12,10 +12,9 @@ from wordloom.plans.stub import stub_labeller
 records = pages.extract_pages(spark.createDataFrame([(1, "<title>t</title>")], "page_id bigint, html string"))
 assert pages.articles(records).first().Title == "t"
 batch = spark.createDataFrame([(0, "kata")], "batch_id bigint, word string")
-assert "kata" in labelling.responses(batch, stub_labeller).first().response
+assert "kata" in labelling.responses(labelling.word_lists(batch), stub_labeller).first().response
 pairs = spark.createDataFrame([("x", "y")], "a string, b string")
-members = spark.createDataFrame([("x", "x"), ("y", "x")], "word string, component string")
-assert communities.themes(pairs, members).count() == 2
+assert communities.themes(pairs).count() == 2
 print("workers fine")
 """
 
