@@ -27,9 +27,14 @@ _LONGEST = 512
 _REACH = 60
 
 #: Values that tell by their form alone that they are secrets: fixed formats of public services.
-_FORMS = re.compile(r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|xox[abp]-[A-Za-z0-9-]{10,}"
-                    r"|AIza[A-Za-z0-9_-]{35})\Z")
-_KEY = re.compile(r"(?:secret|token|passw(?:or)?d|api_?key|access_?key|auth|credential|private_?key)\w{0,20}[\"']?\s{0,3}(?:=|:|=>)\s{0,3}[\"'`]?\Z", re.I)
+_FORM = r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}+|xox[abp]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{35})"
+_FORMS = re.compile(_FORM + r"\Z")
+_FORM_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){_FORM}(?![A-Za-z0-9])")
+_KEY_NAME = r"(?:secret|token|passw(?:or)?d|api_?key|access_?key|auth|credential|private_?key)\w{0,20}[\"']?\s{0,3}"
+_KEY = re.compile(_KEY_NAME + r"(?:=|:|=>)\s{0,3}[\"'`]?\Z", re.I)
+_KEY_ASSIGNS = re.compile(_KEY_NAME + r"(?:=>|=|:)\s{0,3}([\"'`]?)", re.I)
+_QUOTED = re.compile(r"[^\"'`\n]*+(?=[\"'`])")
+_BARE = re.compile(r"[^\s\"'`,;]*+")
 _HARMLESS_KEY = re.compile(r"(?:commit|sha1|sha256|md5|checksum|digest|hash|version|uuid|revision|example|sample|dummy)\W{0,6}\Z", re.I)
 _PLACEHOLDER = re.compile(r"x{4,}|0{6,}|1234567|example|changeme|placeholder|your[_-]", re.I)
 _ASSIGNED = re.compile(r"(?:=|:|=>)\s{0,3}[\"'`]?\Z")
@@ -64,6 +69,25 @@ def candidates(text: str) -> Iterator[Candidate]:
         yield found.start(), at
 
 
+def proposed(text: str) -> list[Candidate]:
+    """All candidates by place: those of :func:`candidates`, values of a fixed form, and whatever a key name is assigned.
+
+    An assigned value may have any length and case; it ends at its quote, or else before a blank, comma or semicolon.
+    Candidates may overlap.
+    """
+    found = {*candidates(text), *(m.span() for m in _FORM_INSIDE.finditer(text))}
+    at = 0
+    while key := _KEY_ASSIGNS.search(text, at):
+        start = key.end()
+        value = (_QUOTED.match(text, start) if key[1] else None) or _BARE.match(text, start)
+        end = at = value.end()
+        while not key[1] and end > start and text[end - 1] in ".)]}>":
+            end -= 1
+        if end > start:
+            found.add((start, end))
+    return sorted(found)
+
+
 def _kinds(value: str) -> np.ndarray:
     codes = np.frombuffer(value.encode("utf-32-le"), "<u4")
     return np.select([(codes >= 48) & (codes <= 57), (codes >= 97) & (codes <= 122), (codes >= 65) & (codes <= 90)], [0, 1, 2], 3)
@@ -138,7 +162,7 @@ def dictionary_words(docs: DataFrame, words: int = 20_000) -> frozenset[str]:
 def _row_findings(text: str | None) -> list[tuple[int, int, str, str, str]]:
     if not text:
         return []
-    return [(a, b, text[a:b], text[max(0, a - _REACH):a], text[b:b + _REACH]) for a, b in candidates(text)]
+    return [(a, b, text[a:b], text[max(0, a - _REACH):a], text[b:b + _REACH]) for a, b in proposed(text)]
 
 
 def findings(docs: DataFrame) -> DataFrame:
@@ -200,7 +224,7 @@ def scan(docs: DataFrame, threshold: float = 0.5, labelled: DataFrame | None = N
     """``keep`` columns (new name: name; by default all but the text) with ``candidates``, an array of
     ``struct<start, end, probability>``, and ``secrets``, those whose probability reaches ``threshold``.
 
-    Positions are code points, the end exclusive. Null and empty texts have empty arrays; a null path is an empty one.
+    Positions are code points, the end exclusive; spans may overlap. Null and empty texts have empty arrays; a null path is an empty one.
     If no finding of one of the classes is known, nothing can be learnt and no candidate is removed. Repeated rows come out
     repeated, an empty table stays empty.
     """
@@ -254,9 +278,10 @@ def redacted(docs: DataFrame, mark: str = "<SECRET>", threshold: float = 0.5, te
                 for t, spans in zip(rows, scanner(rows, part.column(1).to_pylist())):
                     pieces, at = [], 0
                     for a, b, p in sorted(spans):
-                        if p >= floor and a >= at:
-                            pieces += [t[at:a], mark]
-                            at = b
+                        if p >= floor:
+                            if a >= at:
+                                pieces += [t[at:a], mark]
+                            at = max(at, b)  # what overlaps shares a mark
                     out.append(None if t is None or not pieces else "".join([*pieces, t[at:]]))
             return [pa.array(out, pa.string())]
 
