@@ -109,3 +109,26 @@ def test_trust_travels_over_rounds(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = {r.doc_id: r.spans for r in pii.digest(pii.personal_data(docs, precision=0.85)).collect()}
     assert all(found[100 + i].startswith("phone:") for i in range(4))
+
+
+def discovered(spark, rows):
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    return {r.doc_id: r.spans for r in pii.digest(pii.personal_data(docs)).collect()}
+
+
+def test_unknown_candidates_are_discovered_at_the_parameters_of_the_query(spark):
+    found = discovered(spark, [f"my phone is +1 (743) 555-{1000 + i} ok" for i in range(40)] + [f"my phone is 555-{2000 + i} ok" for i in range(4)])
+    assert all(found[40 + i] == "phone:12:20" for i in range(4))
+    found = discovered(spark, [f"write to me{i}@mail.com now" for i in range(5)] + ["write to jo(at)mail(dot)com now"])
+    assert found[5] == "email:9:27"
+
+
+def test_rounds_go_on_until_nothing_is_raised(spark):
+    rows = [f"a0 b0 +1 (743) 555-{1000 + i} c0" for i in range(10)]
+    for k in range(1, 7):
+        for i in range(6):
+            number = f"555-{2000 + 10 * k + i}"
+            rows += [f"w{'x' * (k - 1)} v{'x' * (k - 1)} {number} u{'x' * (k - 1)}" if k > 1 else f"a0 b0 {number} c0",
+                     f"w{'x' * k} v{'x' * k} {number} u{'x' * k}"]
+    rows.append(f"w{'x' * 6} v{'x' * 6} 555-9999 u{'x' * 6}")
+    assert discovered(spark, rows)[len(rows) - 1].startswith("phone:")

@@ -1,8 +1,8 @@
 """Personal data: base patterns, and identifiers that bootstrapped lexical patterns find beside them.
 
 Base spans are seed instances. The words around a seed make lexical patterns; patterns and instances form a graph whose
-edges Spark counts. In turns, a pattern is trusted if nearly all different instances that it surrounds are trusted
-instances of one kind, and an instance is trusted if trusted patterns surround it. Candidate tokens in the context of a
+edges Spark counts. In turns, a pattern is trusted if it surrounds enough trusted instances of one kind and hardly any of
+other kinds or of a form that this kind cannot have, and an instance is trusted if trusted patterns surround it. Candidate tokens in the context of a
 trusted pattern are the identifiers that no base pattern knows.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.common import map_batches, texts
-from wordloom.sources.workspace import staged
+from wordloom.sources.workspace import RoundTables, staged
 
 KINDS = ("email", "ip", "card", "phone")
 CANDIDATE = -1
@@ -69,14 +69,14 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-_TOKEN = re.compile(r"[0-9@][^\x20\x09-\x0D]*")
+_TOKEN = re.compile(r"(?:[0-9@]|[\[({<][Aa][Tt][\])}>])[^\x20\x09-\x0D]*")
 _SPACE = frozenset(" \t\n\v\f\r")
 _TRIMMED = "\"'`,;:!?.()[]{}<>*#$%&|"
 _NUMBER_PART = re.compile(r"\x20[(+]?[0-9][0-9().-]*(?![^\x20\x09-\x0D])")
 
 
 def candidate_spans(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
-    """Tokens with a digit or an @, number groups joined by single spaces as one, that overlap no span in ``taken``."""
+    """Tokens with a digit, an @ or a bracketed "at", number groups joined by single spaces as one, that overlap no span in ``taken``."""
     busy = sorted((a, b) for _, a, b in taken)
     at = next_busy = 0
     while found := _TOKEN.search(text, at):
@@ -143,47 +143,62 @@ def mentions(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
     return map_batches(docs, work, _FOUND_DDL, keep)
 
 
-def trusted_patterns(found: DataFrame, precision: float = 0.9, support: int = 5, rounds: int = 3) -> DataFrame:
+def _could_be() -> list[Column]:
+    """For each kind, whether a candidate's value has a form that the kind can have."""
+    value = F.col("value")
+    digits = F.length(F.regexp_replace(value, "[^0-9]", ""))
+    plain = ~F.regexp_replace(value, "ext|x", "").rlike(r"[\p{L}@]")
+    return [value.rlike(r".(@|[\[({<]at[\])}>])."), value.rlike("[.:].*[.:]"), digits.between(12, 19) & plain, digits.between(6, 15) & plain]
+
+
+def trusted_patterns(found: DataFrame, precision: float = 0.9, support: int = 5, rounds: int | None = None) -> DataFrame:
     """``(pattern, kind, confidence)`` from the rows of :func:`mentions`.
 
-    A pattern's confidence for a kind is the trust of the different instances it surrounds, divided by their number plus
-    one; it is trusted from ``precision`` on if at least ``support`` of the instances are. Unknown instances get the trust
-    1 - product(1 - confidence) over the trusted patterns around them and count as trusted from ``precision`` on. Counting
-    different instances, not mentions, keeps copies of a text from adding support.
+    A pattern's confidence for a kind is the trust of the different instances of the kind that it surrounds, divided by
+    that, the trust of instances of other kinds and the number of negatives: unknown ones whose form the kind cannot have.
+    Other unknown ones, which are to be discovered, count neither way. It is trusted from ``precision`` on if the trust
+    reaches ``support``. Unknown instances get the trust 1 - product(1 - confidence) over the trusted patterns around them
+    and count as trusted from ``precision`` on. Turns end when no instance is raised, or after ``rounds``. Counting different
+    instances, not mentions, keeps copies of a text from adding support.
     """
     each = found.select(F.explode("_found").alias("f"))
-    edges = staged(
-        each.select(F.explode("f.contexts").alias("pattern"), F.col("f.value").alias("value"), F.col("f.kind").alias("kind"))
-        .groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pattern-instances")
+    edges = each.select(F.explode("f.contexts").alias("pattern"), F.col("f.value").alias("value"), F.col("f.kind").alias("kind"))
+    edges = edges.groupBy("pattern", "value").agg(F.max("kind").alias("kind"))
+    edges = staged(edges.select("*", *[c.alias(f"could{k}") for k, c in enumerate(_could_be())]), "pattern-instances")
     trust = edges.where("kind >= 0").select("value", "kind", F.lit(1.0).alias("trust")).distinct()
-    trust = staged(trust, "trusted-instances")
-    known = trust.count()
-    for left in reversed(range(rounds)):
-        around = edges.select("pattern", "value").join(trust, "value", "left")
+    step = RoundTables(found.sparkSession)
+    trust = step(trust, "trusted-instances")
+    known, turn = trust.count(), 0
+    while True:
+        turn += 1
+        around = edges.drop("kind").join(trust, "value", "left")
         sums = around.groupBy("pattern").agg(
-            F.count_distinct("value").alias("n"),
-            *[F.sum(F.when(F.col("kind") == k, F.col("trust")).otherwise(0.0)).alias(f"t{k}") for k in range(len(KINDS))])
-        by_kind = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"t{k}").alias("trust")) for k in range(len(KINDS))])
-        patterns = staged(
-            sums.select("pattern", "n", F.explode(by_kind).alias("t"))
-            .select("pattern", "t.kind", (F.col("t.trust") / (F.col("n") + 1)).alias("confidence"), "t.trust")
+            *[F.sum(F.when(F.col("kind") == k, F.col("trust")).otherwise(0.0)).alias(f"t{k}") for k in range(len(KINDS))],
+            *[F.sum((F.col("kind").isNull() & ~F.col(f"could{k}")).cast("double")).alias(f"n{k}") for k in range(len(KINDS))])
+        by_kind = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"t{k}").alias("trust"), F.col(f"n{k}").alias("negatives"))
+                            for k in range(len(KINDS))])
+        total = sum((F.col(f"t{k}") for k in range(1, len(KINDS))), F.col("t0"))
+        patterns = step(
+            sums.select("pattern", total.alias("total"), F.explode(by_kind).alias("t"))
+            .select("pattern", "t.kind", (F.col("t.trust") / F.nullif(F.col("total") + F.col("t.negatives"), F.lit(0.0))).alias("confidence"), "t.trust")
             .where((F.col("trust") >= support) & (F.col("confidence") >= precision))
             .select("pattern", "kind", "confidence"), "trusted-patterns")
-        if not left or patterns.isEmpty():
+        if turn == rounds or patterns.isEmpty():
             break
         unknown = edges.where(F.col("kind") == CANDIDATE).select("pattern", "value")
         raised = (
             unknown.join(patterns, "pattern").groupBy("value", "kind")
             .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-12)))))).alias("trust"))
             .where(F.col("trust") >= precision))
-        trust = staged(trust.unionByName(raised).groupBy("value", "kind").agg(F.max("trust").alias("trust")), "trusted-instances")
+        trust = step(trust.unionByName(raised).groupBy("value", "kind").agg(F.max("trust").alias("trust")), "trusted-instances")
         if (now := trust.count()) == known:
             break
         known = now
+    step.finish("trusted-patterns")
     return patterns
 
 
-def personal_data(docs: DataFrame, precision: float = 0.9, support: int = 5, rounds: int = 3, text: str = "text",
+def personal_data(docs: DataFrame, precision: float = 0.9, support: int = 5, rounds: int | None = None, text: str = "text",
                   keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns of ``docs`` with ``base`` and ``spans``, arrays of ``struct<kind:int, start, end>``.
 
