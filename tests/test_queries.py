@@ -63,3 +63,10 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() == 10
+
+
+def test_positive_views_keeps_large_numbers(spark, tmp_path):
+    rows = [(1, "view", '{"k": 3000000000}'), (2, "view", '{"k": 5}'), (3, "view", '{"k": 0}'), (4, "error", '{"k": 7}')]
+    spark.createDataFrame(rows, "event_id bigint, event_type string, props string").write.parquet(str(tmp_path / "events.parquet"))
+    found = entry_point.queries()["positive_views"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found)) == [(1, 3000000000), (2, 5)]

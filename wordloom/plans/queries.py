@@ -97,7 +97,7 @@ def positive_views(spark, sf_dir):
     views = F.when(F.col("event_type") == "error", F.col("event_type"))
     views = views.otherwise(F.get_json_object("props", "$.k"))
     articles = events.select("event_id", views.alias("Views")).where(X.positive(F.col("Views")))
-    return articles.select("event_id", F.col("Views").try_cast("int").alias("views"))
+    return articles.select("event_id", F.col("Views").try_cast("bigint").alias("views"))
 
 
 def csv_roundtrip(spark, sf_dir):
