@@ -1,3 +1,8 @@
+import tempfile
+import time
+import uuid
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,7 +90,7 @@ def test_calls_are_spread_and_made_once(spark):
     answers = staged(L.responses(lists, labeller, calls_at_once=16).withColumn("task", F.spark_partition_id()), "answers")
     assert calls.value == answers.count() == 40
     per_task = [r["count"] for r in answers.groupBy("task").count().collect()]
-    assert len(per_task) > 8 and max(per_task) <= 10
+    assert len(per_task) > 4 and max(per_task) <= 15
     parsed = L.parsed_answers(answers)
     assert L.well_formed(parsed).select("word").distinct().count() == 3200
     assert L.rejected_labels(parsed).count() == 0
@@ -97,7 +102,7 @@ def test_a_failing_call_leaves_the_others_alone(spark):
             raise TimeoutError("no answer")
         return stub_labeller(batch)
 
-    answers = staged(L.responses(L.word_lists(numbered(spark, 400)), labeller), "answers")
+    answers = staged(L.responses(L.word_lists(numbered(spark, 400)), labeller, wait=0.01), "answers")
     assert [r.error for r in answers.collect() if r.error] == ["TimeoutError: no answer"]
     assert L.well_formed(L.parsed_answers(answers)).count() == 320
 
@@ -116,9 +121,66 @@ def test_a_rerun_asks_only_for_what_has_no_answer(spark):
         return labeller
 
     labels, rejects = flows.label_words(words, labeller_that_fails_on(broken), path)
-    assert calls.value == 5 and labels.count() == 320
+    assert calls.value == 4 + 3 and labels.count() == 320  # a failing call is made three times
     assert rows_of(rejects.select("reason", "line")) == [("call", "TimeoutError: no answer")]
     labels, rejects = flows.label_words(words, labeller_that_fails_on(set()), path)
-    assert calls.value == 6 and labels.count() == 400 and rejects.count() == 0
+    assert calls.value == 8 and labels.count() == 400 and rejects.count() == 0
     labels, _ = flows.label_words(words, labeller_that_fails_on(set()), path)
-    assert calls.value == 6 and labels.count() == 400
+    assert calls.value == 8 and labels.count() == 400
+
+
+def test_one_new_word_costs_one_call(spark):
+    path, asked = new_path(spark, "labels"), spark.sparkContext.accumulator(0)
+
+    def labeller(batch):
+        asked.add(1)
+        return stub_labeller(batch)
+
+    words = spark.range(1, 801).select(F.format_string("kata%04d", "id").alias("word"))
+    before = flows.label_words(words, labeller, path)[0].drop("seq")
+    wanted = rows_of(before)
+    assert asked.value == 10
+    more = words.unionByName(rows(spark, [("aaa",)], "word string"))  # in front of all others
+    labels, _ = flows.label_words(more, labeller, path)
+    assert asked.value == 11
+    assert rows_of(labels.drop("seq")) == sorted([*wanted, *rows_of(L.valid_labels(L.parsed_answers(
+        rows(spark, [(10, stub_labeller(["aaa"]), None)], "batch_id bigint, response string, error string"))).select(*L.LABEL_FIELDS))],
+        key=lambda row: [(v is not None, str(v)) for v in row])
+    stored = spark.read.parquet(f"{path}/batches")
+    assert sorted(r[0] for r in stored.select("batch_id").distinct().collect()) == list(range(11))
+    assert stored.count() == stored.select("word").distinct().count() == 801
+    # A part of the vocabulary gets the labels of its batches and asks for nothing.
+    part, _ = flows.label_words(words.where("word < 'kata0081'"), labeller, path)
+    assert asked.value == 11 and part.count() == 80
+
+
+def test_calls_that_wait_share_a_task(spark):
+    """64 calls of half a second in 8 tasks of 8 threads take the time of few, not of 64 on 8 cores."""
+    def slow(batch):
+        time.sleep(0.5)
+        return stub_labeller(batch)
+
+    lists = staged(L.word_lists(numbered(spark, 64 * 80)), "lists")
+    staged(L.responses(lists, stub_labeller), "answers")  # starts the workers
+    start = time.perf_counter()
+    plain = len(staged(L.responses(lists, stub_labeller), "answers").collect())
+    usual = time.perf_counter() - start
+    start = time.perf_counter()
+    waited = len(staged(L.responses(lists, slow), "answers").collect())
+    assert plain == waited == 64 and time.perf_counter() - start - usual < 0.5 * 64 / 8
+
+
+def test_a_call_is_made_again_before_it_counts_as_failed(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def labeller(batch):
+        seen.add(1)
+        flag = Path(tempfile.gettempdir()) / marker
+        if not flag.exists():
+            flag.touch()
+            raise TimeoutError("once")
+        return stub_labeller(batch)
+
+    marker = f"run-{uuid.uuid4().hex}"
+    answers = staged(L.responses(L.word_lists(numbered(spark, 10)), labeller, wait=0.01), "answers")
+    assert seen.value == 2 and [r.error for r in answers.collect()] == [None]

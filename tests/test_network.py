@@ -159,3 +159,25 @@ def test_integer_links_are_connected(spark):
     pairs = table(spark, [(1, 2), (3, 2), (7, 7), (-5, 9), (9, 8), (2, 1)], "a bigint, b bigint")
     assert rows_of(N.star_links(pairs)) == [(-5, -5), (1, 1), (2, 1), (3, 1), (8, -5), (9, -5)]
     assert N.star_links(pairs.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_moving_single_words_never_lowers_modularity(spark, seed):
+    pairs = random_graph(seed, 40, 90)
+    merged = {r.word: r.theme for r in C.merge_in_rounds(pair_table(spark, pairs)).collect()}
+    moved = {r.word: r.theme for r in C.themes(pair_table(spark, pairs), moving=True).collect()}
+    reached = quality(pairs, moved)
+    assert set(moved) == set(merged) and reached >= quality(pairs, merged) - 1e-12
+    assert all(theme == min(w for w, t in moved.items() if t == theme) for theme in set(moved.values()))
+    for word in moved:  # no single move helps any more
+        for theme in {moved[a if b == word else b] for a, b in pairs if word in (a, b)}:
+            assert quality(pairs, moved | {word: theme}) < reached + 1e-12
+
+
+def test_moving_undoes_an_early_merge(spark):
+    """Two cliques, each with a word that was put into the other's theme."""
+    pairs = cliques(4, 8)
+    wrong = {w: w[:3] for pair in pairs for w in pair} | {"c00w03": "c01", "c01w04": "c00", "c02w00": "c01", "c02w01": "c01", "c02w02": "c01"}
+    start = rows(spark, list(wrong.items()), "word string, theme string")
+    found = {r.word: r.theme for r in C.move_in_rounds(pair_table(spark, pairs), start).collect()}
+    assert quality(pairs, found) > quality(pairs, wrong) and found == {w: w[:3] + "w00" for w in wrong}

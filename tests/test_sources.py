@@ -34,6 +34,14 @@ def test_id_range_is_half_open(spark):
     assert (ids[0], ids[-1], len(ids)) == (100, 299, 200)
 
 
+def test_ids_asked_for_and_stored(spark):
+    stored = files.rows(spark, [(0,), (7,), (7,), (5_000_000_000,), (-3,), (None,), (2**62,)], "page_id bigint")
+    assert rows_of(files.id_coverage(stored, 6, 9)) == sorted([
+        (6, True, False), (7, True, True), (7, True, True), (8, True, False), (0, False, True), (-3, False, True),
+        (5_000_000_000, False, True), (2**62, False, True)], key=lambda r: [(v is not None, str(v)) for v in r])
+    assert rows_of(files.in_id_range(stored, 0, 8)) == [(0,), (7,), (7,)]
+
+
 def test_counts_of_a_repeated_run_are_stored_once(spark):
     path = new_path(spark, "counts")
     assert files.read_counts(spark, path).count() == 0

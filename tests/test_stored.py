@@ -1,0 +1,378 @@
+"""Stored tables that change: versions, buckets, logs of runs, and the lexicon kept in them."""
+
+import copy
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows_of
+from tests.test_lexicon import label, labels, replay
+from tests.test_network import union_find
+from wordloom.operators import lexicon
+from wordloom.operators.labelling import UNKNOWN
+from wordloom.plans import flows
+from wordloom.sources import files, manifest
+from wordloom.sources.files import rows
+from wordloom.sources.keyed import KeyedTable
+from wordloom.sources.runs import RunLog, _contains, _joined
+from wordloom.sources.workspace import new_path
+
+PAIR = "word string, n bigint"
+
+
+def listed(spark, path):
+    target, fs = manifest._files(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def keyed(spark, buckets=8, **options):
+    return KeyedTable(new_path(spark, "keyed"), rows(spark, [], PAIR).schema, "word", buckets, **options)
+
+
+def largest(df):
+    return df.groupBy("word").agg(F.max("n").alias("n"))
+
+
+# --- Versions
+
+
+def test_a_version_is_made_once(spark):
+    path = new_path(spark, "versions")
+    assert manifest.latest(spark, path) == {"version": 0}
+    first = manifest.commit(spark, path, {"version": 0, "x": "é"})
+    with pytest.raises(manifest.Conflict):
+        manifest.commit(spark, path, {"version": 0, "x": "late"})
+    assert manifest.latest(spark, path) == first == {"version": 1, "x": "é"}
+    for _ in range(30):
+        manifest.commit(spark, path, manifest.latest(spark, path))
+    names = [n for n in listed(spark, f"{path}/versions") if n.endswith(".json") and not n.startswith(".")]
+    assert manifest.latest(spark, path)["version"] == 31 and len(names) == 20
+
+
+# --- Buckets
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 64])
+def test_changes_in_any_number_of_buckets_equal_one_table(spark, buckets):
+    table, whole, pick = keyed(spark, buckets), {}, random.Random(buckets)
+    for _ in range(4):
+        part = {f"w{pick.randrange(300)}": pick.randrange(1000) for _ in range(60)}
+        table.upsert(rows(spark, list(part.items()), PAIR), largest)
+        whole = {w: max(part.get(w, -1), whole.get(w, -1)) for w in whole | part}
+        assert rows_of(table.read(spark)) == sorted(whole.items())
+    table.rebucket(spark, 5)
+    assert rows_of(table.read(spark)) == sorted(whole.items())
+    table.upsert(rows(spark, [("w1", 5000)], PAIR), largest)
+    assert dict(rows_of(table.read(spark))) == whole | {"w1": 5000}
+
+
+def test_only_touched_buckets_are_written(spark):
+    table = keyed(spark, 16)
+    table.upsert(spark.range(2000).select(F.concat(F.lit("w"), "id").alias("word"), F.col("id").alias("n")), largest)
+    before = manifest.latest(spark, table.path)["files"]
+    table.upsert(rows(spark, [("w7", 9999)], PAIR), largest)
+    after = manifest.latest(spark, table.path)["files"]
+    assert len(before) == len(after) == 16 and sum(before[b] != after[b] for b in before) == 1
+
+
+def test_a_change_that_broke_off_leaves_the_old_version(spark, monkeypatch):
+    table = keyed(spark)
+    table.upsert(rows(spark, [("a", 1), ("b", 2)], PAIR), largest)
+
+    def broken(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(manifest, "commit", broken)
+        with pytest.raises(OSError):
+            table.upsert(rows(spark, [("a", 100), ("c", 3)], PAIR), largest)
+    assert rows_of(table.read(spark)) == [("a", 1), ("b", 2)]
+    table.upsert(rows(spark, [("a", 100), ("c", 3)], PAIR), largest)
+    assert rows_of(table.read(spark)) == [("a", 100), ("b", 2), ("c", 3)]
+
+
+def test_readers_of_the_old_version_go_on_and_old_files_go_later(spark):
+    table = keyed(spark, 1)
+    table.upsert(rows(spark, [("a", 1)], PAIR), largest)
+    reader = table.read(spark)
+    table.upsert(rows(spark, [("a", 2)], PAIR), largest)
+    assert rows_of(reader) == [("a", 1)] and rows_of(table.read(spark)) == [("a", 2)]
+    at_once = KeyedTable(table.path, table.schema, "word", 1, keep_seconds=0)
+    at_once.upsert(rows(spark, [("a", 3)], PAIR), largest)
+    assert len([run for run in listed(spark, f"{table.path}/data") if listed(spark, f"{table.path}/data/{run}/_bucket=0")]) == 1
+    assert rows_of(table.read(spark)) == [("a", 3)]
+
+
+def test_empty_changes_null_keys_and_empty_tables(spark):
+    table = keyed(spark)
+    assert table.read(spark).count() == table.rows_of(rows(spark, [("a",)], "word string")).count() == 0
+    table.upsert(rows(spark, [], PAIR), largest)
+    assert table.read(spark).count() == 0
+    table.upsert(rows(spark, [(None, 1), (None, 4), ("", 2)], PAIR), largest)
+    assert rows_of(table.read(spark)) == [(None, 4), ("", 2)]
+    assert rows_of(table.rows_of(rows(spark, [(None,), ("",)], "word string"))) == [("", 2)]
+
+
+def scanned(df):
+    """Files and rows that the scans of a finished query read."""
+    df.collect()
+    found, waiting = [0, 0], [df._jdf.queryExecution().executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        if node.getClass().getSimpleName() in ("AdaptiveSparkPlanExec",):
+            waiting.append(node.executedPlan())
+        elif node.getClass().getSimpleName().endswith("QueryStageExec"):
+            waiting.append(node.plan())
+        elif node.getClass().getSimpleName() == "FileSourceScanExec":
+            metrics = node.metrics()
+            found[0] += metrics.apply("numFiles").value()
+            found[1] += metrics.apply("numOutputRows").value()
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_a_lookup_reads_few_buckets_and_row_groups(spark):
+    table = keyed(spark, 16, row_group_bytes=64 << 10)
+    text = F.sha2(F.col("id").cast("string"), 256)
+    table.upsert(spark.range(400_000).select(text.alias("word"), F.col("id").alias("n")), largest)
+    words = [r.word for r in table.read(spark).where("n IN (5, 77777, 399999)").collect()]
+    keys = rows(spark, [(w,) for w in [*words, words[0], "absent"]], "word string")
+    part = table.rows_of(keys)
+    found = lexicon.lookup_words(keys, part)
+    assert found.count() == 4
+    assert rows_of(found) == rows_of(lexicon.lookup_words(keys, table.read(spark)))
+    files_read, rows_read = scanned(part)
+    assert files_read <= 4 and rows_read < 400_000 / 16, (files_read, rows_read)
+
+
+def test_a_lookup_of_many_keys_reads_their_buckets(spark):
+    table = keyed(spark, 16)
+    table.upsert(spark.range(20_000).select(F.concat(F.lit("w"), "id").alias("word"), F.col("id").alias("n")), largest)
+    keys = spark.range(0, 20_000, 5).select(F.concat(F.lit("w"), "id").alias("word"))
+    assert lexicon.lookup_words(keys, table.rows_of(keys)).count() == 4000
+
+
+# --- Runs
+
+
+def test_numbered_and_named_runs_are_merged_together(spark):
+    path = new_path(spark, "runs")
+    one = [("a", 1)]
+    for run in (0, 1, 2, "repair", "2024-01-01", 10, "010"):
+        files.write_counts(rows(spark, one, "word string, frequency bigint"), path, run)
+    files.fold_counts(spark, path)
+    assert rows_of(files.read_counts(spark, path)) == [("a", 7)]
+    for run in (1, "repair", "010"):  # replays of merged runs
+        files.write_counts(rows(spark, [("a", 50)], "word string, frequency bigint"), path, run)
+    files.write_counts(rows(spark, one, "word string, frequency bigint"), path, 3)
+    files.fold_counts(spark, path)
+    files.fold_counts(spark, path)
+    assert rows_of(files.read_counts(spark, path)) == [("a", 8)]
+
+
+def test_levels_bound_what_a_reader_lists(spark):
+    log = RunLog(spark, new_path(spark, "runs"), "word string, n bigint", keep_seconds=0)
+    for i in range(34):
+        log.write(rows(spark, [("a", 1), (f"w{i % 3}", i)], PAIR), i)
+        assert len(log.segments()) <= 9 + 9
+    segments = log.segments()
+    assert [s["level"] for s in segments] == [1, 1, 1, 0, 0, 0, 0]
+    assert dict(rows_of(log.read())) == {"a": 34} | {f"w{k}": sum(i for i in range(34) if i % 3 == k) for k in range(3)}
+    assert manifest.latest(spark, log.path)["merged"] == [[0, 29]]
+    assert len(listed(spark, f"{log.path}/data")) == 7  # merged runs are deleted
+
+
+def test_a_thousand_runs_are_few_folders(spark, monkeypatch):
+    """The log alone, without rows: the segments after each run and its merges."""
+    log = RunLog(spark, new_path(spark, "runs"), PAIR)
+    said = {"version": 0}
+    monkeypatch.setattr(manifest, "latest", lambda *_: copy.deepcopy(said))
+
+    def commit(spark, path, new):
+        said.clear()
+        said.update(new, version=new["version"] + 1)
+        return said
+
+    class Rows:
+        """Stands for rows that are only written."""
+        def __getattr__(self, name):
+            return lambda *args, **kwargs: self
+
+        write = property(lambda self: self)
+
+    monkeypatch.setattr(manifest, "commit", commit)
+    monkeypatch.setattr(manifest, "delete", lambda *_: None)
+    monkeypatch.setattr(RunLog, "_rows", lambda self, segments: Rows())
+    monkeypatch.setattr(RunLog, "_merged", lambda self, rows: rows)
+    most = 0
+    for i in range(1000):
+        log.write(Rows(), i)
+        most = max(most, len(log.segments()))
+    assert most <= 3 * 9 and [s["level"] for s in log.segments()] == [3] and said["merged"] == [[0, 999]]
+
+
+def test_the_last_value_is_that_of_the_run_that_first_came_last(spark):
+    log = RunLog(spark, new_path(spark, "runs"), "word string, sentiment double", "last")
+
+    def write(run, *values, compact=False):
+        log.write(rows(spark, list(values), "word string, sentiment double"), run, compact)
+
+    write("repair9", ("a", 1.0), ("b", 1.0))
+    write("repair10", ("a", 2.0))
+    assert rows_of(log.read()) == [("a", 2.0), ("b", 1.0)]
+    write("repair9", ("a", 5.0), ("b", 5.0))  # again: keeps its place
+    assert rows_of(log.read()) == [("a", 2.0), ("b", 5.0)]
+    log.compact(everything=True)
+    write("x", ("b", 7.0))
+    assert rows_of(log.read()) == [("a", 2.0), ("b", 7.0)]
+    log.compact(everything=True)
+    assert rows_of(log.read()) == [("a", 2.0), ("b", 7.0)] and len(log.segments()) == 1
+
+
+def test_runs_and_merges_that_broke_off_leave_no_trace(spark, monkeypatch):
+    log = RunLog(spark, new_path(spark, "runs"), PAIR)
+    log.write(rows(spark, [("a", 1)], PAIR), 0)
+    log.write(rows(spark, [("a", 2)], PAIR), 1)
+
+    def broken(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(manifest, "commit", broken)
+        for act in (lambda: log.write(rows(spark, [("a", 100)], PAIR), 2), lambda: log.compact(everything=True)):
+            with pytest.raises(OSError):
+                act()
+    assert rows_of(log.read()) == [("a", 3)]
+    log.compact(everything=True)
+    assert rows_of(log.read()) == [("a", 3)]
+
+
+def test_a_merge_that_another_writer_overtook_is_dropped(spark, monkeypatch):
+    log = RunLog(spark, new_path(spark, "runs"), PAIR)
+    for i in range(2):
+        log.write(rows(spark, [("a", 1)], PAIR), i)
+    merged, other = RunLog._merged, []
+
+    def meanwhile(self, rows_):
+        if not other:
+            other.append(1)
+            RunLog(spark, log.path, PAIR).write(rows(spark, [("a", 10)], PAIR), 0, compact=False)
+        return merged(self, rows_)
+
+    monkeypatch.setattr(RunLog, "_merged", meanwhile)
+    log.compact(everything=True)
+    assert rows_of(log.read()) == [("a", 11)]
+
+
+def test_merged_runs_as_ranges():
+    ranges = _joined(_joined([], ["0", "1", "x", "3"]), ["2", "07", "10"])
+    assert ranges == ["07", "x", [0, 3], [10, 10]]
+    assert [_contains(ranges, n) for n in ("2", "4", "10", "07", "7", "x", "y")] == [True, False, True, True, False, True, False]
+
+
+# --- The lexicon
+
+
+def random_labels(seed, count, words=25):
+    pick = random.Random(seed)
+    names = [f"w{i}" for i in range(words)]
+    return [label(seq, pick.choice(names), pick.choice([*names, UNKNOWN]), pick.choice([*names, UNKNOWN]),
+                  f"def {seed} {seq}", sentiment=float(seq)) for seq in pick.sample(range(1000), count)]
+
+
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_two_runs_equal_one_replay_of_both(spark, buckets):
+    path = new_path(spark, "lexicon")
+    first, second = random_labels(1, 40), random_labels(2, 30)
+    flows.enrich(labels(spark, *first), path, "one", buckets=buckets)
+    for _ in range(2):  # the second run comes twice
+        tables = flows.enrich(labels(spark, *second), path, "two", buckets=buckets)
+    nodes, edges = replay(first + [(10_000 + seq, *rest) for seq, *rest in second])
+    assert rows_of(tables["nodes"]) == nodes and rows_of(tables["edges"]) == edges
+    assert sum(n for _, n in rows_of(tables["pos_counts"])) == 70
+    # Running the first again changes no place that the second wrote.
+    tables = flows.enrich(labels(spark, *first), path, "one", buckets=buckets)
+    assert rows_of(tables["nodes"]) == nodes and rows_of(tables["edges"]) == edges
+    assert sum(n for _, n in rows_of(tables["pos_counts"])) == 70
+    wanted = {w: s for _, w, *_, s in sorted(first)} | {w: s for _, w, *_, s in sorted(second)}
+    assert dict(rows_of(tables["word_sentiment"])) == wanted
+
+
+def test_a_label_of_its_own_is_kept_across_runs(spark):
+    path = new_path(spark, "lexicon")
+    flows.enrich(labels(spark, label(1, "b")), path, "one", synonym_props="keep")
+    tables = flows.enrich(labels(spark, label(1, "a", synonym="b")), path, "two", synonym_props="keep")
+    assert {r.word: r.definition for r in tables["nodes"].collect()} == {"a": "A", "b": "B"}
+
+
+def test_coverage_comes_from_sketches_alone(spark, capsys):
+    path = new_path(spark, "lexicon")
+    for run, start in enumerate((0, 3000, 4000)):
+        made = spark.range(start, start + 4000).select(
+            F.col("id").alias("seq"), F.concat(F.lit("w"), "id").alias("word"), F.lit("makna").alias("definition"), F.lit(UNKNOWN).alias("antonym"),
+            F.concat(F.lit("s"), "id").alias("synonym"), F.lit("kata kerja").alias("pos"), F.lit(0.5).alias("sentiment"))
+        tables = flows.enrich(made, path, f"run {run}")
+    exact = tables["nodes"].count()
+    about = flows.coverage(spark, path)
+    assert exact == 16_000 and abs(about.first()[0] - exact) < 4 * 1.04 / 2 ** (lexicon.SKETCH_BITS / 2) * exact
+    capsys.readouterr()
+    about.explain()
+    plan = capsys.readouterr().out
+    assert "hll" in plan and "definition" not in plan and "/nodes/" not in plan
+
+
+def test_repair_of_the_stored_lexicon(spark):
+    path = new_path(spark, "lexicon")
+    seq = F.struct(F.lit(0).cast("bigint").alias("batch_id"), F.col("seq").cast("int").alias("line_no"))
+    made = labels(spark, label(1, "a", antonym="c", definition="makna", pos="kata kerja"), label(2, "b", antonym="d", definition="makna", pos="kata kerja"))
+    flows.enrich(made.withColumn("seq", seq), path, "labels")
+
+    def answers(words):
+        return "\n".join(f'{w},"baru {w}",x,y,kata nama,0.1' for w in [*words, "stranger"])
+
+    for _ in range(2):
+        nodes = flows.repair_stored(spark, path, answers)
+        assert {r.word: r.definition for r in nodes.collect()} == {"a": "makna", "b": "makna", "c": "baru c", "d": "baru d"}
+    assert dict(rows_of(flows.counters(spark, path)["pos_counts"])) == {"kata kerja": 2, "kata nama": 3}
+
+
+def test_components_of_a_growing_graph(spark):
+    path, pick, known = new_path(spark, "graph"), random.Random(4), []
+    names = [f"w{i:03d}" for i in range(120)]
+    chains = [("a", names[:50]), ("b", names[50:100])]
+    deltas = [[pair for _, chain in chains for pair in zip(chain, chain[1:])],
+              [tuple(pick.sample(names[90:], 2)) for _ in range(10)],
+              [(names[49], names[99])],  # joins two large components
+              [("w000", "w001"), ("zz", "zz"), ("new", "newer")], [], [("newer", "w000")]]
+    for delta in deltas:
+        known += [pair for pair in delta if pair[0] != pair[1]]
+        found = flows.grow_components(rows(spark, delta, "a string, b string"), path, buckets=4)
+        assert rows_of(found) == union_find(known)
+
+
+# --- Counting on the way
+
+
+def test_labels_and_rejects_are_counted_in_the_pass_that_writes_them(spark):
+    from pyspark.sql import Observation
+
+    def labeller(batch):
+        return "\n".join(["a,b", f'{batch[0]},"",c,d,e,0.1', f"{batch[0]},x,c,d,e,n/a", f"{batch[0]},x,c,d,e,0.5"])
+
+    words = spark.range(10).select(F.format_string("kata%04d", "id").alias("word"))
+
+    def jobs(counts):
+        group = uuid.uuid4().hex
+        spark.sparkContext.setJobGroup(group, group)
+        flows.label_words(words, labeller, new_path(spark, "labels"), batch_size=2, counts=counts)
+        done = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        if counts is not None:
+            assert counts.get == {"lines": 20, "labels": 5, "field_count": 5, "missing_field": 5, "sentiment": 5}
+            assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == done
+        return done
+
+    assert jobs(Observation("labels")) == jobs(None)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

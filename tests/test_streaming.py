@@ -1,9 +1,12 @@
 import json
 
+import pytest
+
 from tests.conftest import rows_of
 from wordloom.operators.words import word_freq
 from wordloom.sources.files import read_csv, rows
 from wordloom.sources.messages import file_stream, write_message_files
+from wordloom.sources.runs import RunLog
 from wordloom.sources.workspace import new_path
 from wordloom.streaming import words as S
 
@@ -78,23 +81,14 @@ def test_folding_changes_no_count_and_may_be_repeated(spark):
     for batch_id, words in enumerate(batches[:3]):
         sink(rows(spark, [(w,) for w in words], "word string"), batch_id)
     wanted = [("a", 2), ("b", 2), ("c", 1)]
-    for upto in (1, 1, 0, 2):
-        S.fold_counts(spark, path, upto)
+    for _ in range(3):
+        S.fold_counts(spark, path)
         assert rows_of(S.read_counts(spark, path)) == wanted
     sink(rows(spark, [("a",), ("a",)], "word string"), 1)  # a replay of a folded batch counts no more
     sink(rows(spark, [("a",)], "word string"), 3)
     assert rows_of(S.read_counts(spark, path)) == [("a", 3), ("b", 2), ("c", 1)]
 
 
-def test_a_fold_that_broke_off_leaves_no_trace(spark):
-    path = new_path(spark, "counts")
-    S.count_sink(path)(rows(spark, [("a",)], "word string"), 0)
-    rows(spark, [("a", 99)], "word string, frequency bigint").write.parquet(f"{path}-folded/upto=0")  # no mark
-    assert rows_of(S.read_counts(spark, path)) == [("a", 1)]
-    S.fold_counts(spark, path, 0)
-    assert rows_of(S.read_counts(spark, path)) == [("a", 1)]
-
-
 def test_folds_along_a_stream(spark):
     path, counts, checkpoint = (new_path(spark, n) for n in ("messages", "counts", "checkpoint"))
     for i in range(5):
@@ -102,4 +96,31 @@ def test_folds_along_a_stream(spark):
     stream = file_stream(spark, path, max_files=1)
     found = S.stream_word_freq(spark, stream, counts, checkpoint, fold_every=2)
     assert rows_of(found) == [("dua", 10), ("satu", 5)]
-    assert spark.read.parquet(f"{counts}-marks").count() >= 2
+    assert len(RunLog(spark, counts, "word string, frequency bigint").segments()) <= 3
+
+
+def test_rows_are_counted_on_the_way_to_the_sinks(spark):
+    path, out, counts, checkpoint = (new_path(spark, n) for n in ("messages", "words", "counts", "checkpoint"))
+    for i in range(3):
+        write_messages(spark, path, "satu dua " * (i + 1))
+    stream = S.message_words(file_stream(spark, path, max_files=1))
+    query = S.write_stream(stream, checkpoint, S.word_sink(out), S.count_sink(counts))
+    query.awaitTermination()
+    seen = S.rows_seen(query)
+    stored = spark.read.schema("word string, run_id bigint").parquet(out).groupBy("run_id").count()
+    assert {k: n for k, n in seen.items() if n} == dict(rows_of(stored)) and sum(seen.values()) == 12
+
+
+def test_a_sink_that_fails_leaves_nothing_in_memory(spark):
+    path, checkpoint = new_path(spark, "messages"), new_path(spark, "checkpoint")
+    write_messages(spark, path, "satu")
+
+    def broken(batch, batch_id):
+        batch.count()
+        raise OSError("gone")
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    query = S.write_stream(S.message_words(file_stream(spark, path)), checkpoint, broken, broken)
+    with pytest.raises(Exception, match="gone"):
+        query.awaitTermination()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

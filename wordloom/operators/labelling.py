@@ -3,7 +3,9 @@
 A labeller is any callable ``list[str] -> str`` that returns CSV text with the six label fields.
 """
 
+import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -38,41 +40,44 @@ def prompts(batches: DataFrame, template: str = PROMPT) -> DataFrame:
     return word_lists(batches).select("batch_id", text.alias("prompt"))
 
 
-def batch_key() -> Column:
-    """What tells whether a batch was answered before: its words, whatever number they have this time."""
-    return F.sha2(F.to_json("words"), 256)
-
-
 def unanswered(batches: DataFrame, answers: DataFrame | None) -> DataFrame:
     """``(batch_id, words)`` of the batches without an answer so far; those that failed are asked again."""
     lists = word_lists(batches)
     if answers is None:
         return lists
-    done = answers.where("error IS NULL").select("batch_key").distinct()
-    return lists.join(done, batch_key() == F.col("batch_key"), "left_anti")
+    return lists.join(answers.where("error IS NULL").select("batch_id"), "batch_id", "left_anti")
 
 
-def responses(lists: DataFrame, labeller: Labeller, calls_at_once: int = 64) -> DataFrame:
-    """``(batch_id, batch_key, response, error)``: one labeller call per batch of ``(batch_id, words)``, on executors.
+def responses(lists: DataFrame, labeller: Labeller, calls_at_once: int = 64, tasks: int = 8, retries: int = 2,
+              wait: float = 1.0) -> DataFrame:
+    """``(batch_id, response, error)``: one labeller call per batch of ``(batch_id, words)``, on executors.
 
-    The calls are dealt evenly to ``calls_at_once`` tasks, however few bytes they have. A call that fails has its error
-    instead of a response and does not disturb the others. Calls are slow and may cost money, so callers write the
-    result to a table before parsing it.
+    The batches are dealt evenly to ``tasks`` tasks, however few bytes they have; each has a pool of threads for its
+    share of ``calls_at_once``, so waiting calls hold one core a task and not one each. A call that fails is made again up
+    to ``retries`` times, after ``wait`` seconds, then twice that, and so on; the last error stands instead of a response
+    and does not disturb the others. Calls are slow and may cost money, so callers write the result to a table before
+    parsing it.
     """
-    @F.pandas_udf("response string, error string")
-    def call(lists: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        def one(batch):
+    def answer(batch) -> tuple[str | None, str | None]:
+        for attempt in range(retries + 1):
             try:
                 return labeller(list(batch)), None
             except Exception as problem:  # one call must not repeat the others
-                return None, f"{type(problem).__name__}: {problem}"
+                error = f"{type(problem).__name__}: {problem}"
+            if attempt < retries:
+                time.sleep(wait * 2 ** attempt)
+        return None, error
 
-        for words in lists:
-            yield pd.DataFrame([one(batch) for batch in words], columns=["response", "error"], dtype=object)
+    def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with ThreadPoolExecutor(max(1, calls_at_once // tasks)) as pool:
+            for frame in frames:
+                found = pd.DataFrame(list(pool.map(answer, frame["words"])), columns=["response", "error"], dtype=object)
+                found.insert(0, "batch_id", frame["batch_id"].to_numpy())
+                yield found
 
-    dealt = lists.select("batch_id", "words", batch_key().alias("batch_key")).repartition(calls_at_once, "batch_id")
-    called = dealt.select("batch_id", "batch_key", call.asNondeterministic()("words").alias("answer"))
-    return called.select("batch_id", "batch_key", "answer.*")
+    # By a hash of its own: an exchange by the same column and number would be left out, and the one before it coalesced.
+    dealt = lists.select("batch_id", "words").repartition(tasks, F.xxhash64("batch_id", F.lit(tasks)))
+    return dealt.mapInPandas(call, "batch_id bigint, response string, error string")
 
 
 def response_lines(answers: DataFrame) -> DataFrame:
@@ -127,6 +132,12 @@ def valid_labels(parsed: DataFrame) -> DataFrame:
     return checked_labels(parsed).where("reason IS NULL").drop("reason")
 
 
+def label_counts(reason: str = "reason") -> list[Column]:
+    """Rows, labels and rejects by reason, to be observed in the pass that writes checked labels."""
+    rejects = [F.count_if(F.coalesce(F.col(reason) == name, F.lit(False))).alias(name) for name in ("field_count", "missing_field", "sentiment")]
+    return [F.count(F.lit(1)).alias("lines"), F.count_if(F.col(reason).isNull()).alias("labels"), *rejects]
+
+
 def rejected_labels(parsed: DataFrame) -> DataFrame:
     return checked_labels(parsed).where("reason IS NOT NULL")
 

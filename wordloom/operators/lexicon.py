@@ -12,6 +12,8 @@ from wordloom.sources.workspace import staged
 
 SYNONYM, ANTONYM = "SYNONYM", "ANTONYM"
 
+SKETCH_BITS = 14  # 16,384 registers: a standard error of 0.8 percent, whatever the number of words
+
 # The part-of-speech names that are counted under their own name.
 VALID_POS = (
     "kata nama", "kata kerja", "kata adjektif", "kata sendi", "kata keterangan", "tidak diketahui",
@@ -37,26 +39,42 @@ def last_wins(df: DataFrame, keys: list[str], values: list[str], order: Column)
     return df.groupBy(*keys).agg(F.max_by(F.struct(*values), order).alias("_last")).select(*keys, "_last.*")
 
 
-def lexicon_nodes(labels: DataFrame, synonym_props: str = "overwrite") -> DataFrame:
-    """``(word, definition, pos)`` after applying every label in ``seq`` order.
+def node_writes(labels: DataFrame, synonym_props: str = "overwrite", *before: Column) -> DataFrame:
+    """``(word, definition, pos, written)``: what each label writes, and ``written``, the order of writes.
 
     A label writes its word, then gives its synonym the same definition and part of speech; an antonym only comes
-    into being. With ``synonym_props="keep"`` a word's own label beats anything written to it as a synonym.
+    into being, which has no order (null). With ``synonym_props="keep"`` a word's own label beats anything written to it as
+    a synonym. ``before`` are fields that come before ``seq`` in the order, such as the number of a run.
     """
     def write(node: str, step: int, sets: bool) -> Column:
         own = F.lit(step == 0 if synonym_props == "keep" else True)
-        order = F.struct(own.alias("own"), F.col("seq").alias("seq"), F.lit(step).alias("step"))
-        return F.struct(F.col(node).alias("word"), F.col("definition"), F.col("pos"),
-                        (order if sets else F.when(F.lit(False), order)).alias("written"))
+        order = F.struct(own.alias("own"), *before, F.col("seq").alias("seq"), F.lit(step).alias("step"))
+        return F.struct(F.col(node).alias("word"), F.when(F.lit(sets), F.col("definition")).alias("definition"),
+                        F.when(F.lit(sets), F.col("pos")).alias("pos"), F.when(F.lit(sets), order).alias("written"))
 
     writes = F.array(
         write("word", 0, True),
         F.when(_links("synonym"), write("synonym", 1, True)),
         F.when(_links("antonym"), write("antonym", 2, False)),
     )
-    rows = labels.select(F.inline(F.array_compact(writes)))
+    return labels.select(F.inline(F.array_compact(writes)))
+
+
+def lexicon_nodes(labels: DataFrame, synonym_props: str = "overwrite") -> DataFrame:
+    """``(word, definition, pos)`` after applying every label in ``seq`` order, see :func:`node_writes`."""
     # A null order never wins, so words that only occur as antonyms end with null properties.
-    return last_wins(rows, ["word"], ["definition", "pos"], F.col("written"))
+    return last_wins(node_writes(labels, synonym_props), ["word"], ["definition", "pos"], F.col("written"))
+
+
+def last_nodes(writes: DataFrame) -> DataFrame:
+    """One row a word: the last of its writes, with its order, so that later writes can be compared with it."""
+    return last_wins(writes, ["word"], ["definition", "pos", "written"], F.col("written"))
+
+
+def node_sketch(labels: DataFrame) -> DataFrame:
+    """``(name, sketch)``: one row, the words that the labels write, as a sketch of distinct values."""
+    words = node_writes(labels).select("word")
+    return words.agg(F.hll_sketch_agg("word", SKETCH_BITS).alias("sketch")).select(F.lit("words").alias("name"), "sketch")
 
 
 def lexicon_edges(labels: DataFrame) -> DataFrame:

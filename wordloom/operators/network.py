@@ -110,6 +110,28 @@ def components(pairs: DataFrame) -> DataFrame:
     return linked.join(ids, "id").join(names, "centre").select("word", "component")
 
 
+def added_to_components(stored: DataFrame, new_pairs: DataFrame) -> DataFrame:
+    """``(word, component)`` of the words whose component changes when ``new_pairs`` join a graph of known components.
+
+    The known components are contracted to their names, and only the new pairs between different ones go through the star
+    steps; a word that is not known is a component of its own. As a component is named by its smallest word, the
+    smallest name of joined ones is theirs. Pairs can be added, not taken away.
+    """
+    names = stored.select("word", "component")
+
+    def contracted(pairs: DataFrame, end: str) -> DataFrame:
+        known = names.select(F.col("word").alias(end), F.col("component").alias("_name"))
+        return pairs.join(known, end, "left").withColumn(f"_{end}", F.coalesce("_name", end)).drop("_name")
+
+    pairs = new_pairs.where("a != b").select("a", "b").distinct()
+    between = staged(contracted(contracted(pairs, "a"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"), F.col("a").alias("_first"), F.col("b").alias("_second")), "new-pairs")
+    joined = staged(components(between.where("a != b").select("a", "b").distinct()), "joined-components")
+    renamed = joined.select(F.col("word").alias("component"), F.col("component").alias("_new")).where("component != _new")
+    moved = names.join(renamed, "component").select("word", F.col("_new").alias("component"))
+    fresh = between.select(F.explode(F.array("_first", "_second")).alias("word")).distinct().join(names, "word", "left_anti")
+    return moved.unionByName(fresh.join(joined, "word", "left").select("word", F.coalesce("component", "word").alias("component")))
+
+
 def modularity(pairs: DataFrame, membership: DataFrame, group: str) -> DataFrame:
     """``(modularity)`` of a partition: sum over groups of L/m - (d/2m)^2."""
     groups = membership.select("word", F.col(group).alias("g"))

@@ -36,10 +36,21 @@ def number_rows(df: DataFrame, *order_by, name: str = "row_number") -> DataFrame
     )
 
 
-def batches(words: DataFrame, size: int = 80) -> DataFrame:
-    """``(batch_id, word)``: every word in exactly one batch of at most ``size`` words, in word order."""
+def batches(words: DataFrame, size: int = 80, first: int = 0) -> DataFrame:
+    """``(batch_id, word)``: every word in exactly one batch of at most ``size`` words, in word order, from ``first`` on."""
     numbered = number_rows(words.select("word"), "word", name="_n")
-    return numbered.select(F.floor((F.col("_n") - 1) / size).alias("batch_id"), "word")
+    return numbered.select((F.floor((F.col("_n") - 1) / size) + first).alias("batch_id"), "word")
+
+
+def more_batches(words: DataFrame, stored: DataFrame | None, size: int = 80) -> DataFrame:
+    """``(batch_id, word)`` of the words that are in no stored batch, numbered on from the last stored one.
+
+    Stored batches stay as they are, so a vocabulary that grows by one word gets one new batch.
+    """
+    if stored is None:
+        return batches(words, size)
+    last = stored.agg(F.max("batch_id")).first()[0]
+    return batches(words.select("word").join(stored.select("word"), "word", "left_anti"), size, 0 if last is None else last + 1)
 
 
 def collect_in_parts(df: DataFrame, keys: list[str], value: str, part_size: int = 1000,

@@ -25,6 +25,16 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return spark.read.schema(schema).parquet(path)
 
 
+def folder(spark: SparkSession, sf_dir: str, name: str, fill: Callable[[str], object]) -> str:
+    """A folder of stage tables for this session and input folder, filled on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        path = new_path(spark, name)
+        fill(path)
+        _stored[key] = path, T.StructType()
+    return _stored[key][0]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

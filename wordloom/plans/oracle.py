@@ -86,11 +86,21 @@ nodes AS (
   SELECT word, definition, pos FROM last_writes
   UNION ALL
   SELECT DISTINCT antonym, NULL, NULL FROM valid
-  WHERE antonym <> {UNKNOWN} AND antonym <> word AND antonym NOT IN (SELECT word FROM last_writes))"""
+  WHERE antonym <> {UNKNOWN} AND antonym <> word
+    AND NOT EXISTS (SELECT 1 FROM last_writes l WHERE l.word = valid.antonym))"""
 
 
 _NODES = _nodes("seq DESC, step DESC")
 
+#: Labels are usable unless none of three fields says anything; of two runs the later one wins.
+_USABLE = f"""
+usable AS (
+  SELECT * FROM valid WHERE {" OR ".join(
+    f"NOT (contains(lower({c}), {UNKNOWN}) OR contains(lower({c}), 'nama'))" for c in ("definition", "antonym", "synonym"))})"""
+_SECOND_RUN = "seq % 3 = 0 DESC, seq DESC"
+_TWO_RUNS = (_USABLE, _nodes(f"{_SECOND_RUN}, step DESC").replace("FROM valid", "FROM usable").replace("valid.antonym", "usable.antonym"),
+             _EDGES.replace("FROM valid", "FROM usable"))
+
 _SENTIMENT = """
 word_sentiment AS (
   SELECT word, sentiment FROM (
@@ -168,6 +178,18 @@ planted AS (
   WHERE kind = 1 OR kind = 0 AND q < words // s * s OR kind = 2 AND q < words // (4 * s) * (4 * s))"""
 
 
+_PLANTED_PAIRS = """
+placed AS (SELECT p.kind, p.g, places.q FROM planted p JOIN places USING (word)),
+planted_pairs AS (
+  SELECT a.kind, a.g AS ga, b.g AS gb FROM placed a JOIN placed b ON a.kind = 0 AND b.kind = 0 AND a.g = b.g AND a.q < b.q
+  UNION ALL
+  SELECT 0, a.g, b.g FROM placed a JOIN placed b ON a.kind = 0 AND b.kind = 0 AND b.g = a.g + 1 AND b.q = a.q + 1
+  UNION ALL
+  SELECT 1, g, g FROM placed WHERE kind = 1 AND q > 0
+  UNION ALL
+  SELECT 2, a.g, b.g FROM placed a JOIN placed b ON a.kind = 2 AND b.kind = 2 AND a.g = b.g AND b.q = a.q + 1)"""
+
+
 def _both_ways(rel: str) -> str:
     return f"""
 linked AS (
@@ -216,14 +238,17 @@ SELECT word FROM words UNION ALL SELECT word FROM page_words"""),
 SELECT word, count(*)::BIGINT AS frequency FROM (SELECT word FROM words UNION ALL SELECT word FROM page_words)
 GROUP BY word"""),
     "positive_views": """
-SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS views FROM events
-WHERE event_type <> 'error' AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) > 0""",
+SELECT event_id, views FROM (
+  SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') || CASE WHEN event_id % 3 = 0 THEN '0000000000' ELSE '' END AS BIGINT) AS views
+  FROM events WHERE event_type <> 'error')
+WHERE views > 0""",
     "csv_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "page_ids_range": """
-SELECT r.page_id, 'https://forum.example.com/view?aid=' || r.page_id AS url, p.page_id IS NOT NULL AS is_stored,
-  r.page_id AS aid
-FROM (SELECT unnest(range(0, n)) AS page_id FROM (SELECT count(*) AS n FROM pages)) r
-LEFT JOIN pages p ON p.page_id = r.page_id""",
+WITH stored AS (SELECT CASE WHEN page_id % 2 = 0 THEN page_id ELSE page_id * 5000000000 END AS page_id FROM pages),
+asked AS (SELECT unnest(range(100, 300)) AS page_id)
+SELECT page_id, 'https://forum.example.com/view?aid=' || page_id AS url, a.page_id IS NOT NULL AS in_range,
+  s.page_id IS NOT NULL AS is_stored, page_id AS aid
+FROM asked a FULL JOIN stored s USING (page_id)""",
     "forum_fields": f"""
 SELECT doc_id AS "AID", source || ' ' || lang AS "Title",
   CASE WHEN doc_id % 5 = 0 THEN 'Unknown' ELSE '2024-1-' || (doc_id % 28 + 1) END AS "Date",
@@ -356,4 +381,24 @@ FROM counted GROUP BY 1"""),
 SELECT word, sentiment FROM (
   SELECT word, sentiment, row_number() OVER (PARTITION BY word ORDER BY run DESC, seq DESC) AS n FROM counted)
 WHERE n = 1"""),
+    "lexicon_nodes_two_runs": _with(*_LEXICON, *_TWO_RUNS, query="SELECT word, definition, pos FROM nodes"),
+    "lexicon_edges_two_runs": _with(*_LEXICON, *_TWO_RUNS, query="SELECT src, rel, dst FROM edges"),
+    "word_sentiment_two_runs": _with(*_LEXICON, _USABLE, query=f"""
+SELECT word, sentiment FROM (
+  SELECT word, sentiment, row_number() OVER (PARTITION BY word ORDER BY {_SECOND_RUN}) AS n FROM usable)
+WHERE n = 1"""),
+    "coverage_two_runs": _with(*_LEXICON, *_TWO_RUNS, query="SELECT count(*)::BIGINT AS exact, true AS within FROM nodes"),
+    "lookup_words_stored": _with(*_LEXICON, *_TWO_RUNS, _BENCHMARK, query="""
+SELECT n.word, n.definition, n.pos FROM keys k JOIN nodes n ON n.word = k.word"""),
+    "neighbours_out_stored": _with(*_LEXICON, *_TWO_RUNS, _BENCHMARK, query="""
+SELECT DISTINCT k.word, e.dst AS neighbour FROM keys k JOIN edges e ON e.src = k.word AND e.rel = 'SYNONYM'"""),
+    "components_two_runs": _with(*_LEXICON, *_TWO_RUNS, _PAIRS, _COMPONENTS, recursive=True, query="""
+SELECT word, component FROM components"""),
+    "themes_modularity": _with(_WORDS, _PLANTED, _PLANTED_PAIRS, query="""
+SELECT round(sum(l / m - (d / (2 * m)) * (d / (2 * m))), 9) AS modularity FROM (
+  SELECT sum(CASE WHEN inner_edge THEN 0.5 ELSE 0 END)::DOUBLE AS l, count(*)::DOUBLE AS d,
+    (SELECT count(*) FROM planted_pairs)::DOUBLE AS m
+  FROM (
+    SELECT kind, ga AS g, ga = gb AS inner_edge FROM planted_pairs UNION ALL SELECT kind, gb, ga = gb FROM planted_pairs)
+  GROUP BY kind, g)"""),
 }

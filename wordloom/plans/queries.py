@@ -9,8 +9,10 @@ from wordloom.operators.numbering import batches, number_rows
 from wordloom.plans import fixture, flows
 from wordloom.plans.fixture import table
 from wordloom.plans.stub import stub_labeller
+from wordloom.schemas import COMPONENT, PROPS
 from wordloom.sources import files, messages
-from wordloom.sources.workspace import new_path, spread
+from wordloom.sources.keyed import KeyedTable
+from wordloom.sources.workspace import new_path, spread, staged, written
 from wordloom.streaming import words as streams
 
 # The test pages have a navigation list instead of a forum's byline and comments.
@@ -92,10 +94,11 @@ def merge_counts(spark, sf_dir):
 
 
 def positive_views(spark, sf_dir):
-    """Views as text: the number in ``props``, but words for error events."""
+    """Views as text: the number in ``props``, beyond 32 bits for every third event, but words for error events."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
     views = F.when(F.col("event_type") == "error", F.col("event_type"))
-    views = views.otherwise(F.get_json_object("props", "$.k"))
+    number = F.get_json_object("props", "$.k")
+    views = views.when(F.col("event_id") % 3 == 0, F.concat(number, F.lit("0000000000"))).otherwise(number)
     articles = events.select("event_id", views.alias("Views")).where(X.positive(F.col("Views")))
     return articles.select("event_id", F.col("Views").try_cast("bigint").alias("views"))
 
@@ -108,12 +111,15 @@ def csv_roundtrip(spark, sf_dir):
 
 
 def page_ids_range(spark, sf_dir):
-    """Ids from 0 up to the number of pages, their addresses, and whether the page is stored."""
-    stored = table(spark, sf_dir, "pages").select("page_id", F.lit(True).alias("is_stored"))
-    ids = files.id_range(spark, 0, stored.count()).join(stored, "page_id", "left")
+    """Ids asked for, 100 up to 300 as in a run over a forum, and all stored ones: their addresses, and what is stored.
+
+    Stored ids are spread over 64 bits here, and so far apart that no range could list them.
+    """
+    stored = table(spark, sf_dir, "pages").select(
+        F.when(F.col("page_id") % 2 == 0, F.col("page_id")).otherwise(F.col("page_id") * 5_000_000_000).alias("page_id"))
     url = X.page_url("https://forum.example.com/view?aid=", F.col("page_id"))
-    return ids.select("page_id", url.alias("url"), F.coalesce("is_stored", F.lit(False)).alias("is_stored"),
-                      X.page_id_of(url).alias("aid"))
+    return files.id_coverage(stored, 100, 300).select(
+        "page_id", url.alias("url"), "in_range", "is_stored", X.page_id_of(url).alias("aid"))
 
 
 def _pages(spark, sf_dir):
@@ -355,32 +361,97 @@ def words_missing_props(spark, sf_dir):
 
 
 def _repaired(spark, sf_dir):
-    """Nodes, labels and counters after the labels were counted and the nodes repaired."""
-    path = new_path(spark, "repair")
-    flows.count_labels(fixture.valid_labels(spark, sf_dir), path, "labels")
-    nodes, labels = flows.repair(fixture.nodes(spark, sf_dir), stub_labeller, path, counter_path=path)
-    return nodes, labels, flows.counters(spark, path)
+    """Where nodes, labels and counters are after the labels were counted and the nodes repaired; worked out once."""
+    def fill(path):
+        flows.count_labels(fixture.valid_labels(spark, sf_dir), path, "labels")
+        nodes, labels = flows.repair(fixture.nodes(spark, sf_dir), stub_labeller, path, counter_path=path)
+        written(nodes, f"{path}/repaired_nodes")
+        written(labels, f"{path}/repair_labels")
+
+    return fixture.folder(spark, sf_dir, "repair", fill)
 
 
 def repair_lexicon(spark, sf_dir):
-    return _repaired(spark, sf_dir)[0]
+    return spark.read.schema(PROPS).parquet(f"{_repaired(spark, sf_dir)}/repaired_nodes")
 
 
 def repair_counts(spark, sf_dir):
     """Parts of speech of the labels that the repair brought in."""
-    return lexicon.pos_counts(_repaired(spark, sf_dir)[1])
+    return lexicon.pos_counts(spark.read.parquet(f"{_repaired(spark, sf_dir)}/repair_labels"))
 
 
 def repair_pos_counts(spark, sf_dir):
-    return _repaired(spark, sf_dir)[2]["pos_counts"]
+    return flows.counters(spark, _repaired(spark, sf_dir))["pos_counts"]
 
 
 def repair_sentiment_counts(spark, sf_dir):
-    return _repaired(spark, sf_dir)[2]["sentiment_counts"]
+    return flows.counters(spark, _repaired(spark, sf_dir))["sentiment_counts"]
 
 
 def repair_word_sentiment(spark, sf_dir):
-    return _repaired(spark, sf_dir)[2]["word_sentiment"]
+    return flows.counters(spark, _repaired(spark, sf_dir))["word_sentiment"]
+
+
+def _two_runs(spark, sf_dir):
+    """A stored lexicon into which two runs were written: labels whose seq is no multiple of three, then the others."""
+    def fill(path):
+        labels = fixture.valid_labels(spark, sf_dir)
+        flows.enrich(labels.where("seq % 3 <> 0"), path, "first")
+        flows.enrich(labels.where("seq % 3 = 0"), path, "second")
+
+    return fixture.folder(spark, sf_dir, "two-runs", fill)
+
+
+def lexicon_nodes_two_runs(spark, sf_dir):
+    return flows.stored_lexicon(spark, _two_runs(spark, sf_dir))["nodes"]
+
+
+def lexicon_edges_two_runs(spark, sf_dir):
+    return flows.stored_lexicon(spark, _two_runs(spark, sf_dir))["edges"]
+
+
+def word_sentiment_two_runs(spark, sf_dir):
+    return flows.stored_lexicon(spark, _two_runs(spark, sf_dir))["word_sentiment"]
+
+
+def coverage_two_runs(spark, sf_dir):
+    """Whether the sketches of the runs come within four standard errors of the exact number of nodes."""
+    path = _two_runs(spark, sf_dir)
+    exact = lexicon.lexicon_coverage(flows.node_table(path).read(spark)).select(F.col("unique_entries").alias("exact"))
+    both = exact.unionByName(flows.coverage(spark, path).select(F.col("unique_entries").alias("about")), allowMissingColumns=True)
+    error = F.abs(F.max("about") - F.max("exact")) / F.max("exact")
+    return both.agg(F.max("exact").alias("exact"), (error < 4 * 1.04 / 2 ** (lexicon.SKETCH_BITS / 2)).alias("within"))
+
+
+def lookup_words_stored(spark, sf_dir):
+    """The lookup over the buckets of the keys alone."""
+    keys = staged(_benchmark_words(spark, sf_dir), "lookup-keys")
+    nodes = flows.node_table(_two_runs(spark, sf_dir)).rows_of(keys)
+    return lexicon.lookup_words(keys, nodes)
+
+
+def neighbours_out_stored(spark, sf_dir):
+    keys = staged(_benchmark_words(spark, sf_dir), "lookup-keys")
+    edges = flows.edge_table(_two_runs(spark, sf_dir)).rows_of(keys.withColumnRenamed("word", "src"))
+    return lexicon.neighbours_out(keys, edges, lexicon.SYNONYM)
+
+
+def components_two_runs(spark, sf_dir):
+    """Components of the synonyms, of which the second run's came to the stored ones of the first."""
+    def fill(path):
+        usable = labelling.usable_words(fixture.valid_labels(spark, sf_dir))
+        for part in ("seq % 3 <> 0", "seq % 3 = 0"):
+            flows.grow_components(network.network_edges(lexicon.lexicon_edges(usable.where(part)), lexicon.SYNONYM), path)
+
+    path = fixture.folder(spark, sf_dir, "grown-components", fill)
+    return KeyedTable(f"{path}/components", COMPONENT, "word").read(spark)
+
+
+def themes_modularity(spark, sf_dir):
+    """Modularity of the planted network's themes after single words moved."""
+    pairs = fixture.planted_pairs(spark, sf_dir)
+    found = network.modularity(pairs, communities.themes(pairs, moving=True), "theme")
+    return found.select(F.round("modularity", 9).alias("modularity"))
 
 
 QUERIES = {
@@ -395,5 +466,7 @@ QUERIES = {
         word_profile, neighbour_sets, neighbour_parts, network_edges, network_first_words, components, modularity,
         themes, antonym_components, antonym_themes, planted_components, planted_themes, words_missing_props,
         repair_lexicon, repair_counts, repair_pos_counts, repair_sentiment_counts, repair_word_sentiment,
+        lexicon_nodes_two_runs, lexicon_edges_two_runs, word_sentiment_two_runs, coverage_two_runs, lookup_words_stored,
+        neighbours_out_stored, components_two_runs, themes_modularity,
     )
 }

@@ -54,5 +54,16 @@ LABEL_TEXT = _strings(*LABEL_FIELDS)
 
 ANSWER = T.StructType([
     T.StructField("batch_id", T.LongType()),
-    *_strings("batch_key", "response", "error"),
+    *_strings("response", "error"),
 ])
+
+WORD_BATCH = T.StructType([
+    T.StructField("batch_id", T.LongType()),
+    *_strings("word"),
+])
+
+PROPS = _strings("word", "definition", "pos")
+
+EDGE = _strings("src", "rel", "dst")
+
+COMPONENT = _strings("word", "component")

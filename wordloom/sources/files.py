@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wordloom.sources.runs import RunLog
+
 # One option set for both directions; quotes, line breaks and outer spaces inside values survive.
 CSV_OPTIONS = {
     "header": True,
@@ -49,9 +51,21 @@ def id_range(spark: SparkSession, start: int, end: int, name: str = "page_id") -
     return spark.range(start, end).withColumnRenamed("id", name)
 
 
-def write_counts(df: DataFrame, path: str, run_id: int | str) -> None:
-    """Store one run's counts under its id. Writing the same run again replaces it, so a rerun adds nothing."""
-    df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+def in_id_range(stored: DataFrame, start: int, end: int, name: str = "page_id") -> DataFrame:
+    """The stored rows with an id in the range; the bounds reach the scan, which passes over row groups without such ids."""
+    return stored.where((F.col(name) >= start) & (F.col(name) < end))
+
+
+def id_coverage(stored: DataFrame, start: int, end: int, name: str = "page_id") -> DataFrame:
+    """``(id, in_range, is_stored)`` of every id that is asked for or stored.
+
+    The cost follows the length of the range and the stored rows, not how far apart stored ids are. Repeated ids repeat;
+    rows without an id are left out.
+    """
+    asked = id_range(stored.sparkSession, start, end, name).withColumn("in_range", F.lit(True))
+    known = stored.where(F.col(name).isNotNull()).select(name, F.lit(True).alias("is_stored"))
+    return asked.join(known, name, "full").select(
+        name, *[F.coalesce(c, F.lit(False)).alias(c) for c in ("in_range", "is_stored")])
 
 
 def stored_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
@@ -64,46 +78,23 @@ def stored_or_none(spark: SparkSession, path: str, schema: T.StructType | str) -
         return None
 
 
-_MARK = "upto bigint, folder string"
-
+def _log(spark: SparkSession, path: str, key: str, count: str) -> RunLog:
+    return RunLog(spark, path, f"`{key}` string, `{count}` bigint")
 
-def _last_fold(spark: SparkSession, path: str):
-    marks = stored_or_none(spark, f"{path}-marks", _MARK)
-    return marks.orderBy(F.desc("upto")).first() if marks is not None else None
 
+def write_counts(df: DataFrame, path: str, run_id: int | str) -> None:
+    """Store one run's counts ``(key, count)`` under its id. Writing the same run again replaces it, so a rerun adds nothing.
 
-def read_counts(spark: SparkSession, path: str, key: str = "word", count: str = "frequency") -> DataFrame:
-    """Counts added up over all stored runs; nothing stored yet gives no rows.
-
-    Where :func:`fold_counts` has folded runs, their sum is read instead of them.
+    Runs are merged as they come (:class:`RunLog`), so reading does not grow with their number.
     """
-    schema = f"{key} string, {count} bigint, run_id string"
-    runs = stored_or_none(spark, path, schema)
-    runs = rows(spark, [], schema) if runs is None else runs
-    fold = _last_fold(spark, path)
-    if fold is not None:
-        folded = spark.read.schema(f"{key} string, {count} bigint").parquet(fold.folder)
-        runs = runs.where(F.col("run_id").cast("bigint") > fold.upto).select(key, count).unionByName(folded)
-    return runs.groupBy(key).agg(F.sum(count).alias(count))
+    _log(df.sparkSession, path, *df.columns).write(df, run_id)
 
 
-def fold_counts(spark: SparkSession, path: str, upto: int, key: str = "word", count: str = "frequency") -> None:
-    """Fold all runs numbered up to ``upto`` into one table, so that reading does not grow with the number of runs.
+def read_counts(spark: SparkSession, path: str, key: str = "word", count: str = "frequency") -> DataFrame:
+    """Counts added up over all stored runs; nothing stored yet gives no rows."""
+    return _log(spark, path, key, count).read()
 
-    The sum goes to a folder of its own and counts only once its mark is written; a fold that broke off leaves no trace in
-    the counts, and folding again up to the same or an earlier run changes nothing. Runs that were folded may be deleted.
-    """
-    fold = _last_fold(spark, path)
-    if fold is not None and fold.upto >= upto:
-        return
-    schema = f"{key} string, {count} bigint, run_id string"
-    runs = stored_or_none(spark, path, schema)
-    if runs is None:
-        return
-    number = F.col("run_id").cast("bigint")
-    part = runs.where((number <= upto) & (number > (-1 if fold is None else fold.upto))).select(key, count)
-    if fold is not None:
-        part = part.unionByName(spark.read.schema(f"{key} string, {count} bigint").parquet(fold.folder))
-    folder = f"{path}-folded/upto={upto}"
-    part.groupBy(key).agg(F.sum(count).alias(count)).write.mode("overwrite").parquet(folder)
-    rows(spark, [(upto, folder)], _MARK).write.mode("append").parquet(f"{path}-marks")
+
+def fold_counts(spark: SparkSession, path: str, key: str = "word", count: str = "frequency") -> None:
+    """Merge all stored runs, whatever their ids are, into one table. Merging again changes nothing."""
+    _log(spark, path, key, count).compact(everything=True)

@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordloom.functions.text import ASCII, Profile
@@ -10,6 +11,8 @@ from wordloom.operators.words import text_words, word_freq
 from wordloom.sources.files import fold_counts, read_counts, write_counts
 from wordloom.sources.messages import from_messages
 
+OBSERVED = "stream_words"
+
 
 def message_words(messages: DataFrame, profile: Profile = ASCII) -> DataFrame:
     """Messages to words; unreadable messages and missing contents give none."""
@@ -25,21 +28,30 @@ def write_stream(words: DataFrame, checkpoint: str, *sinks: Callable[[DataFrame,
     """Run every sink on each micro-batch of one query, so the source is read once.
 
     Without ``interval`` it processes what is available and ends, and continues from the checkpoint when started
-    again; with one, such as ``"1 minute"``, it runs until stopped.
+    again; with one, such as ``"1 minute"``, it runs until stopped. The rows of each micro-batch are counted on the way:
+    see :func:`rows_seen`.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         if len(sinks) > 1:
             batch.persist()
-        for sink in sinks:
-            sink(batch, batch_id)
-        batch.unpersist()
+        try:
+            for sink in sinks:
+                sink(batch, batch_id)
+        finally:
+            batch.unpersist()
 
+    counted = words.observe(OBSERVED, F.count(F.lit(1)).alias("rows"))
     return (
-        words.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        counted.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
         .trigger(**_trigger(interval)).start()
     )
 
 
+def rows_seen(query: StreamingQuery) -> dict[int, int]:
+    """Rows by micro-batch, as the pass that fed the sinks counted them; batches that the query no longer reports are left out."""
+    return {p.batchId: p.observedMetrics[OBSERVED].rows for p in query.recentProgress if OBSERVED in p.observedMetrics}
+
+
 def word_sink(path: str, file_format: str = "parquet") -> Callable[[DataFrame, int], None]:
     """Appends words under the batch's own folder; a replayed batch replaces itself."""
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -58,10 +70,10 @@ def count_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def fold_sink(path: str, every: int = 1000) -> Callable[[DataFrame, int], None]:
-    """Folds the counts of earlier batches whenever ``every`` more have come; a replay folds nothing twice."""
+    """Folds all counts into one table whenever ``every`` more batches have come; a replay folds nothing twice."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         if batch_id and batch_id % every == 0:
-            fold_counts(batch.sparkSession, path, batch_id - 1)
+            fold_counts(batch.sparkSession, path)
 
     return sink
 
