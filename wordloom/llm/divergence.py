@@ -25,7 +25,7 @@ PRIOR = 5
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 _ENTRIES = 100_000
-_CELLS = 1 << 21
+_CELLS = 1 << 17
 _STRIPE = 256
 _BROADCAST_ROWS = 100_000
 
