@@ -146,3 +146,19 @@ def test_keys_of_capitals_are_masked(spark):
     more = spark.createDataFrame([(1000 + i, f"{prose(i, 8)} id {k} {prose(i, 5)}", "src/main.py", 0) for i, k in enumerate(keys)], docs.schema)
     clean = {r.doc_id: r.text for r in secrets.redacted(docs.union(more)).collect()}
     assert all(k not in clean[1000 + i] and "<SECRET>" in clean[1000 + i] for i, k in enumerate(keys))
+
+
+def test_values_count_whole_whatever_their_length():
+    none = frozenset()
+    behind, in_front = "aB3" * 200 + "placeholder", "placeholder" + "aB3" * 200
+    assert secrets.sure_label(behind, "token = ") == secrets.sure_label(in_front, "token = ") == 0
+    assert secrets.features(behind, "", "", "", none)[9] == 1
+    long = "aB3" * 400
+    assert secrets.features(long, "", "", "", none)[0] == np.log1p(1200)
+    assert not (secrets.features("a" * 512 + "9", "", "", "", none) == secrets.features("a" * 513, "", "", "", none)).all()
+
+
+def test_training_sees_what_scoring_sees(spark):
+    value = "aB3x" * 300
+    docs = spark.createDataFrame([(f"token = '{value}'", "p")], "text string, path string")
+    assert [r.value for r in secrets.findings(docs).collect()] == [value]

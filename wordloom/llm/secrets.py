@@ -23,7 +23,6 @@ from wordloom.sources.workspace import staged
 # Possessive, and only from the start of a run: long runs cost their length once.
 _RUN = re.compile(r"(?<![A-Za-z0-9_+/=.-])[A-Za-z0-9_+/=.-]{12,}+")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
-_LONGEST = 512
 _REACH = 60
 
 #: Values that tell by their form alone that they are secrets: fixed formats of public services.
@@ -113,18 +112,17 @@ FEATURES = 10 + 16 + 1 + 3 + 6 + 2 * _HASHED
 
 
 def features(value: str, path: str, before: str, after: str, dictionary: frozenset[str]) -> np.ndarray:
-    """Numbers that describe a candidate: see the module. Only its first 512 characters count for the character kinds."""
+    """Numbers that describe a candidate, whole values whatever their length: see the module."""
     out = np.zeros(FEATURES)
-    short = value[:_LONGEST]
-    kinds = _kinds(short)
-    n = max(len(short), 1)
+    kinds = _kinds(value)
+    n = max(len(value), 1)
     shares = np.bincount(kinds, minlength=4) / n
-    hexadecimal = sum(c in "0123456789abcdefABCDEF" for c in short) / n
-    out[:10] = [np.log1p(len(value)), len(value) in (32, 40, 64), _entropy(short), hexadecimal, *shares,
-                len(set(short)) / n, bool(_PLACEHOLDER.search(short))]
+    hexadecimal = sum(map(value.count, "0123456789abcdefABCDEF")) / n
+    out[:10] = [np.log1p(len(value)), len(value) in (32, 40, 64), _entropy(value), hexadecimal, *shares,
+                len(set(value)) / n, bool(_PLACEHOLDER.search(value))]
     steps = np.bincount(kinds[:-1] * 4 + kinds[1:], minlength=16)
     out[10:26] = steps / max(steps.sum(), 1)
-    out[26] = coverage(short, dictionary)
+    out[26] = coverage(value, dictionary)
     name = path.lower()
     out[27:30] = [zlib.crc32(name.encode()) % 64, name.count("/"), any(t in name for t in ("test", "example", "doc"))]
     word = _LAST_WORD.search(before)
@@ -142,9 +140,9 @@ def sure_label(value: str, before: str) -> int | None:
     """1 or 0 where a rule is sure by itself, else None: this makes labelled findings from raw text."""
     if value.startswith("-----BEGIN") or _FORMS.match(value):
         return 1
-    if _PLACEHOLDER.search(value[:_LONGEST]) or _HARMLESS_KEY.search(before) or not any(c.isalpha() for c in value[:_LONGEST]):
+    if _PLACEHOLDER.search(value) or _HARMLESS_KEY.search(before) or not any(c.isalpha() for c in value):
         return 0
-    mixed = len(value) >= 16 and _entropy(value[:_LONGEST]) >= 3.0 and any(c.isdigit() for c in value)
+    mixed = len(value) >= 16 and _entropy(value) >= 3.0 and any(c.isdigit() for c in value)
     if _KEY.search(before) and mixed:
         return 1
     return 0 if not _ASSIGNED.search(before) and not mixed else None
@@ -166,15 +164,12 @@ def _row_findings(text: str | None) -> list[tuple[int, int, str, str, str]]:
 
 
 def findings(docs: DataFrame) -> DataFrame:
-    """``(value, path, before, after, label)`` of all candidates of ``text`` under ``path``; the label can be null.
-
-    Values are cut at 512 characters.
-    """
+    """``(value, path, before, after, label)`` of all candidates of ``text`` under ``path``; the label can be null."""
     ddl = "value string, path string, before string, after string, label int"
 
     def run(batches):
         for batch in batches:
-            rows = [(v[:_LONGEST], p or "", before, after, sure_label(v, before))
+            rows = [(v, p or "", before, after, sure_label(v, before))
                     for t, p in zip(texts(batch.column(0)), texts(batch.column(1))) for _, _, v, before, after in _row_findings(t)]
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate([pa.string()] * 4 + [pa.int32()])]
             yield pa.RecordBatch.from_arrays(columns, ["value", "path", "before", "after", "label"])
@@ -209,8 +204,20 @@ def train(docs: DataFrame, labelled: DataFrame | None = None, most_findings: int
     dictionary = dictionary_words(docs)
     known = (findings(docs) if labelled is None else labelled).where("label IS NOT NULL").dropDuplicates(["value", "before", "after"])
     known = staged(known.withColumn("order", F.xxhash64("value", "before", "after")), "labelled-findings")
-    rows = [r for label in (0, 1) for r in known.where(F.col("label") == label).orderBy("order").limit(most_findings).collect()]
-    x = np.array([features(r.value or "", r.path or "", r.before or "", r.after or "", dictionary) for r in rows]).reshape(len(rows), FEATURES)
+    words = docs.sparkSession.sparkContext.broadcast(dictionary)
+
+    def described(batches):
+        for batch in batches:
+            columns = [[v or "" for v in texts(batch.column(i))] for i in range(4)]
+            x = [features(*row, words.value).tolist() for row in zip(*columns)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(4)], ["x", "label"])
+
+    # Values can be long, what describes them is not: that is all the driver gets.
+    chosen = [known.where(F.col("label") == label).orderBy("order").limit(most_findings) for label in (0, 1)]
+    rows = [r for some in chosen for r in some.select("value", "path", "before", "after", "label").mapInArrow(
+        described, "x array<double>, label int").collect()]
+    words.unpersist()
+    x = np.array([r.x for r in rows]).reshape(len(rows), FEATURES)
     return forest.fit(docs.sparkSession, x, np.array([r.label for r in rows], np.int64), spec), dictionary
 
 
@@ -224,7 +231,7 @@ def scan(docs: DataFrame, threshold: float = 0.5, labelled: DataFrame | None = N
     """``keep`` columns (new name: name; by default all but the text) with ``candidates``, an array of
     ``struct<start, end, probability>``, and ``secrets``, those whose probability reaches ``threshold``.
 
-    Positions are code points, the end exclusive; spans may overlap. Null and empty texts have empty arrays; a null path is an empty one.
+    Positions are code points, the end exclusive; spans may overlap. Texts and values of any length count whole. Null and empty texts have empty arrays; a null path is an empty one.
     If no finding of one of the classes is known, nothing can be learnt and no candidate is removed. Repeated rows come out
     repeated, an empty table stays empty.
     """
