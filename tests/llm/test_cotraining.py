@@ -52,6 +52,11 @@ def test_text_view_counts():
     assert [len(a) for a in view(b" \n ")] == [len(a) for a in view(None)] == [0, 0]
 
 
+def test_the_shape_of_a_long_word_is_that_of_all_its_bytes():
+    assert cotraining._shape(b"a" * 40 + b"-9") == cotraining._shape(b"a" * 39 + b"-9") == b"a-0"
+    assert cotraining._shape(b"aA" * 5000 + b"7") == b"aA" * 5000 + b"0"
+
+
 def test_shapes():
     assert [cotraining._shape(w) for w in (b"Ab12#", "Éé".encode(), b"AAA!!")] == [b"Aa0#", b"a", b"A!"]
 

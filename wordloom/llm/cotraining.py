@@ -6,6 +6,7 @@ round, each view labels the unlabelled documents that it is sure of and the othe
 labelled documents that no training sees calibrates each view, and the calibrated views are combined to score all documents.
 """
 
+import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass, field
@@ -43,14 +44,13 @@ class Spec:
 # --- views
 
 
+_KINDS = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256))
+_SAME = re.compile(rb"(.)\1+", re.S)
+
+
 def _shape(word: bytes) -> bytes:
-    """Runs of upper, lower, digit and other characters; marks stand for themselves."""
-    out = bytearray()
-    for b in word[:40]:
-        kind = 65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b
-        if not out or out[-1] != kind:
-            out.append(kind)
-    return bytes(out)
+    """Runs of upper, lower, digit and other characters of the whole word; marks stand for themselves."""
+    return _SAME.sub(rb"\1", word.translate(_KINDS))
 
 
 class _Places(dict):
