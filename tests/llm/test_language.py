@@ -96,3 +96,23 @@ def test_accuracy_on_the_held_out_fold(spark):
     held = [r for r in rows if r.held_out]
     assert {r.doc_id for r in held} == {i for i in langs if zlib.crc32(str(i).encode()) % 4 == 2}
     assert np.mean([r.lang_pred == langs[r.doc_id] for r in held]) > 0.97
+
+
+def test_a_text_longer_than_a_piece_has_all_its_n_grams(monkeypatch):
+    grams = language.Grams()
+    pick = np.random.default_rng(2)
+    texts = ["".join(pick.choice(list("abcDÉ  \n"), 3001)), None, "x", " \n" * 700 + "ab" + "\t" * 900 + "c", "ab"]
+
+    def counted():
+        sums = Counter()
+        for block in language.gram_counts(texts, grams):
+            for row, bucket, n in zip(*(part.tolist() for part in block)):
+                sums[row, bucket] += n
+        return sums
+
+    whole = counted()
+    plain = [" ".join((t or "").lower().split()) for t in texts]
+    assert sum(whole.values()) == sum(max(len(t) - k, 0) for t in plain for k in range(grams.longest))
+    for size in (1, 2, 3, 1000):
+        monkeypatch.setattr(language, "_CHARS_AT_ONCE", size)
+        assert counted() == whole

@@ -26,18 +26,22 @@ class Grams:
     bits: int = 14
 
 
-def _pieces(texts: list[str | None]) -> Iterator[tuple[int, str]]:
-    """``(row, piece)``: whole texts, long ones in pieces that share no n-gram across the cut but lose no character."""
+def _pieces(texts: list[str | None], longest: int) -> Iterator[tuple[int, str, int]]:
+    """``(row, piece, own)``: whole texts, lower-cased and with white space as single spaces, long ones in pieces.
+
+    A piece goes on for ``longest - 1`` characters behind its ``own`` ones, so that every n-gram starts in exactly one.
+    """
     for row, text in enumerate(texts):
-        for start in range(0, len(text or ""), _CHARS_AT_ONCE):
-            yield row, text[start:start + _CHARS_AT_ONCE]
+        plain = " ".join((text or "").lower().split())
+        for start in range(0, len(plain), _CHARS_AT_ONCE):
+            yield row, plain[start:start + _CHARS_AT_ONCE + longest - 1], min(_CHARS_AT_ONCE, len(plain) - start)
 
 
 def gram_counts(texts: list[str | None], grams: Grams) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Sparse counts ``(row, bucket, n)`` of a few texts at a time; a row can come up in several blocks."""
-    block: list[tuple[int, str]] = []
+    block: list[tuple[int, str, int]] = []
     size = 0
-    for piece in _pieces(texts):
+    for piece in _pieces(texts, grams.longest):
         block.append(piece)
         size += len(piece[1]) + 1
         if size >= _CHARS_AT_ONCE:
@@ -47,12 +51,15 @@ def gram_counts(texts: list[str | None], grams: Grams) -> Iterator[tuple[np.ndar
         yield _count(block, grams)
 
 
-def _count(block: list[tuple[int, str]], grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lowered = [" ".join(text.lower().split()) for _, text in block]
-    codes = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    lengths = np.array([len(t) + 1 for t in lowered])
+def _count(block: list[tuple[int, str, int]], grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    codes = np.frombuffer("\n".join(piece for _, piece, _ in block).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    lengths = np.array([len(piece) + 1 for _, piece, _ in block])
     lengths[-1] -= 1
-    rows = np.repeat(np.array([row for row, _ in block], np.int64), lengths)
+    rows = np.repeat(np.array([row for row, _, _ in block], np.int64), lengths)
+    owned = np.ones(len(codes), bool)
+    for end, (_, piece, own) in zip(np.cumsum(lengths), block):
+        if own < len(piece):
+            owned[end - (len(piece) - own) - (end < len(codes)):end] = False
     shift = np.uint64(64 - grams.bits)
     sums, n = None, int(rows[-1]) + 1 if len(rows) else 0
     inside = codes != 10  # the line feed between texts; white space within them has become a space
@@ -62,7 +69,8 @@ def _count(block: list[tuple[int, str]], grams: Grams) -> tuple[np.ndarray, np.n
         mixed = mixed[:left] * _SCALE + codes[length - 1:] + np.uint64(length)
         whole = whole[:left] & inside[length - 1:]
         bucket = ((mixed * _SCALE) >> shift).astype(np.int64)
-        keys.append((rows[:len(mixed)][whole] << grams.bits) | bucket[whole])
+        starts = whole & owned[:left]
+        keys.append((rows[:left][starts] << grams.bits) | bucket[starts])
     keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
     base = int(block[0][0]) << grams.bits
     span = ((n << grams.bits) - base) if n else 0
