@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import defaultdict
 
 import pytest
@@ -101,3 +102,19 @@ def test_query(spark):
     assert all(len({s for s, _ in own}) == len(own) == len({t for _, t in own}) for own in inside.values())
     filled = sum(n for own in bins.values() for _, n in own) / (2048 * len(bins))
     assert filled > 0.9
+
+
+def test_one_source_for_a_whole_group_takes_no_square():
+    """No bin is compatible for any piece; the search sees that of all of them at once."""
+    pick, n = random.Random(3), 16_384
+    sizes = [pick.randint(1, 2047) for _ in range(n)]
+    start = time.process_time()
+    placed = packing.best_fit(sizes, ["s"] * n, [None] * n, 2048)
+    assert time.process_time() - start < 5 and sorted(b for b, _ in placed) == list(range(n))
+
+
+def test_texts_that_differ_in_white_space_alone_are_apart(spark):
+    rows = [(1, "a b", "s1"), (2, "a b\n", "s2"), (3, "\t a \r\n b", "s3"), (4, "a c", "s4")]
+    found = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), 100).collect()
+    bins = {r.doc_id: r.bin_id for r in found}
+    assert len({bins[1], bins[2], bins[3]}) == 3 and bins[4] in {bins[1], bins[2], bins[3]}

@@ -6,7 +6,7 @@ its duplicate cluster is yet. Bins lie ordered by the room left and carry a bitm
 search starts at the tightest bin that fits and goes on to its successors until one is compatible.
 """
 
-from bisect import bisect_left, insort
+from bisect import insort
 from collections import Counter
 
 import pyarrow as pa
@@ -20,35 +20,88 @@ from wordloom.sources.workspace import staged
 _BINS_A_GROUP = 1 << 32
 
 
+class _Bins:
+    """Open bins ordered by the room left, then by number, with what all bins of a stretch of rooms have in common.
+
+    A binary tree over the rooms holds the bits that every bin below a node has, of sources and of clusters. The search for
+    the tightest compatible bin passes over a whole stretch if all its bins hold the piece's source, or its cluster; only
+    in a stretch that may have a compatible bin does it go from bin to bin.
+    """
+
+    def __init__(self, capacity: int):
+        self.leaves = 1 << capacity.bit_length()
+        self.sources: list[int] = []
+        self.clusters: list[int] = []
+        self.at_room: list[list[int]] = [[] for _ in range(self.leaves)]
+        # All bits, of no bin: the lowest bit is that of no source, so nothing is looked for in an empty stretch.
+        self.all_sources, self.all_clusters = [-1] * (2 * self.leaves), [-1] * (2 * self.leaves)
+
+    def open(self) -> int:
+        self.sources.append(0)
+        self.clusters.append(0)
+        return len(self.sources) - 1
+
+    def _set(self, room: int) -> None:
+        node, sources, clusters = room + self.leaves, -1, -1
+        for number in self.at_room[room]:
+            sources &= self.sources[number]
+            clusters &= self.clusters[number]
+        while node:
+            if self.all_sources[node] == sources and self.all_clusters[node] == clusters:
+                return
+            self.all_sources[node], self.all_clusters[node] = sources, clusters
+            beside, node = node ^ 1, node >> 1
+            sources, clusters = sources & self.all_sources[beside], clusters & self.all_clusters[beside]
+
+    def put(self, number: int, room: int) -> None:
+        insort(self.at_room[room], number)
+        self._set(room)
+
+    def take(self, size: int, source: int, cluster: int) -> tuple[int, int] | None:
+        """``(bin, room)`` of the tightest compatible bin, which is taken out; None if there is none."""
+        node = size + self.leaves
+        while True:
+            if self.all_sources[node] & (source | 1) or self.all_clusters[node] & cluster:
+                while node & 1:
+                    node >>= 1
+                if not node:
+                    return None
+                node += 1
+            elif node < self.leaves:
+                node *= 2
+            else:
+                room = node - self.leaves
+                for number in self.at_room[room]:
+                    if not (self.sources[number] & source or self.clusters[number] & cluster):
+                        self.at_room[room].remove(number)
+                        self._set(room)
+                        return number, room
+                while node & 1:
+                    node >>= 1
+                if not node:
+                    return None
+                node += 1
+
+
 def best_fit(sizes: list[int], sources: list, clusters: list, capacity: int) -> list[tuple[int, int]]:
     """``(bin, offset)`` of each piece. Null sources and clusters are compatible with everything.
 
     Pieces of equal size are packed in the order given. A piece of the whole capacity fills a bin of its own.
     """
-    source_bits = {s: 1 << i for i, s in enumerate(dict.fromkeys(s for s in sources if s is not None))}
+    source_bits = {s: 2 << i for i, s in enumerate(dict.fromkeys(s for s in sources if s is not None))}
     repeated = [c for c, n in Counter(c for c in clusters if c is not None).items() if n > 1]
     cluster_bits = {c: 1 << i for i, c in enumerate(repeated)}
     placed: list[tuple[int, int]] = [(0, 0)] * len(sizes)
-    rooms: list[tuple[int, int]] = []  # (room left, bin), ordered
-    in_sources: list[int] = []
-    in_clusters: list[int] = []
+    bins = _Bins(capacity)
     for piece in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
         size = sizes[piece]
         source, cluster = source_bits.get(sources[piece], 0), cluster_bits.get(clusters[piece], 0)
-        at = bisect_left(rooms, (size, -1))
-        while at < len(rooms) and (in_sources[rooms[at][1]] & source or in_clusters[rooms[at][1]] & cluster):
-            at += 1
-        if at < len(rooms):
-            room, chosen = rooms.pop(at)
-        else:
-            room, chosen = capacity, len(in_sources)
-            in_sources.append(0)
-            in_clusters.append(0)
+        chosen, room = bins.take(size, source, cluster) or (bins.open(), capacity)
         placed[piece] = (chosen, capacity - room)
-        in_sources[chosen] |= source
-        in_clusters[chosen] |= cluster
+        bins.sources[chosen] |= source
+        bins.clusters[chosen] |= cluster
         if room > size:
-            insort(rooms, (room - size, chosen))
+            bins.put(chosen, room - size)
     return placed
 
 
@@ -57,7 +110,7 @@ def pieces(docs: DataFrame, capacity: int, doc_id: str, text: str, source: str,
     body = quoted(text)
     words = F.regexp_count(body, F.lit(r"[^\x20\x09-\x0D]+"))
     where = quoted(source).cast("string") if source in docs.columns else F.lit(None).cast("string")
-    same = F.xxhash64(F.regexp_replace(F.trim(body), r"[\x20\x09-\x0D]+", " "))
+    same = F.xxhash64(F.trim(F.regexp_replace(body, r"[\x20\x09-\x0D]+", " ")))
     sized = docs.select(
         quoted(doc_id).alias("doc_id"), (F.coalesce(words, F.lit(0)).cast("bigint") + 1).alias("_all"), where.alias("source"),
         (F.when(body.isNotNull(), same) if cluster is None else quoted(cluster)).alias("cluster"))
