@@ -72,15 +72,16 @@ def _are_stars(pairs: DataFrame) -> bool:
     return counts.where((F.col("ups") > 1) | ((F.col("ups") == 1) & (F.col("centre") == 0))).isEmpty()
 
 
-def star_links(pairs: DataFrame) -> DataFrame:
+def star_links(pairs: DataFrame, files: int | None = None) -> DataFrame:
     """``(id, centre)`` of every number in undirected pairs ``(a, b)`` of numbers; the centre is the smallest reachable.
 
     Alternating large-star and small-star steps: the number of rounds grows with the logarithm of the longest
     path, and a hub costs one minimum per round instead of a list of its neighbours. Every step and its minima are
     written to the shared folder, so a lost executor never sets a round back, no plan grows with the rounds, and the
-    joins shuffle both sides themselves, which is what lets Spark split the partition of a hub.
+    joins shuffle both sides themselves, which is what lets Spark split the partition of a hub. ``files`` bounds the
+    files of each written table, for a caller that knows about how many rows there are.
     """
-    store = RoundTables(pairs.sparkSession)
+    store = RoundTables(pairs.sparkSession, files)
     stars = store(pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "stars")
     while True:
         stars = store(_large_star(stars, store), "stars")

@@ -40,19 +40,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return written(df, new_path(df.sparkSession, name))
 
 
+def files_for(rows: int, rows_a_file: int = 500_000, fewest: int = 8) -> int:
+    """How many files, and so tasks, a table of short rows is worth: more as it grows, few while it is small."""
+    return max(fewest, -(-rows // rows_a_file))
+
+
 class RoundTables:
     """Like :func:`staged`, for loops in which each result depends on the one before.
 
     The results of one name go to two folders in turn, so that a loop of any length keeps two of them; :meth:`finish`
-    deletes those that nothing reads any more.
+    deletes those that nothing reads any more. Each is written to at most ``files`` files, if that is given.
     """
 
-    def __init__(self, spark: SparkSession):
-        self._spark, self._base, self._turns = spark, new_path(spark, "rounds"), Counter()
+    def __init__(self, spark: SparkSession, files: int | None = None):
+        self._spark, self._base, self._turns, self._files = spark, new_path(spark, "rounds"), Counter(), files
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         self._turns[name] += 1
-        return written(df, self._path(name, self._turns[name]))
+        return written(df if self._files is None else df.coalesce(self._files), self._path(name, self._turns[name]))
 
     def _path(self, name: str, turn: int) -> str:
         return f"{self._base}/{name}-{turn % 2}"
