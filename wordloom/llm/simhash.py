@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.common import byte_texts, map_batches, word_blocks
 from wordloom.operators.network import star_links
-from wordloom.sources.workspace import staged
+from wordloom.sources.workspace import files_for, staged
 
 BITS = 64
 SEED = 42
@@ -353,12 +353,14 @@ def fingerprint_groups(rows: DataFrame, distance: int) -> DataFrame:
     """``(_fp, component_id)`` of each fingerprint in rows of ``doc_id`` and ``_fp``."""
     fps = staged(rows.groupBy(F.col("_fp").alias("fp")).agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     links = near_links(fps.select("fp"), distance)
-    linked = staged(star_links(links), "linked-fingerprints")
+    # Short rows, no more than there are fingerprints (links of a bucket span it): few files while these are few.
+    files = files_for(fps.count())
+    linked = staged(star_links(links, files).coalesce(files), "linked-fingerprints")
     firsts = linked.join(fps.withColumnRenamed("fp", "id"), "id")
-    smallest = staged(firsts.groupBy("centre").agg(F.min("first").alias("smallest")), "component-firsts")
-    named = staged(linked.join(smallest, "centre").select(F.col("id").alias("fp"), "smallest"), "named")
+    smallest = staged(firsts.groupBy("centre").agg(F.min("first").alias("smallest")).coalesce(files), "component-firsts")
+    named = staged(linked.join(smallest, "centre").select(F.col("id").alias("fp"), "smallest").coalesce(files), "named")
     return staged(fps.join(named, "fp", "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("smallest", "first").alias("component_id")), "fingerprint-groups")
+        F.col("fp").alias("_fp"), F.coalesce("smallest", "first").alias("component_id")).coalesce(files), "fingerprint-groups")
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, doc_id: str = "doc_id",
