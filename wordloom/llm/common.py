@@ -76,14 +76,16 @@ def map_batches(df: DataFrame, work: Callable, fields: str, keep: list[str] | No
     return df.mapInArrow(run, schema)
 
 
-def grouped_batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
-    """Batches by runs of a column, as they come."""
+def grouped_batches(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[int | tuple, Iterator[pa.RecordBatch]]]:
+    """Batches by runs of a column, or of several, as they come; the key of a run of several is a tuple."""
     def cut():
         for batch in batches:
-            values = batch.column(batch.schema.get_field_index(column)).to_numpy()
-            starts = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else []
-            for a, b in zip(starts, np.append(starts[1:], len(values)) if len(values) else []):
-                yield int(values[a]), batch.slice(int(a), int(b - a))
+            keys = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in columns]
+            new = np.logical_or.reduce([values[1:] != values[:-1] for values in keys])
+            starts = np.flatnonzero(np.concatenate(([True], new))) if batch.num_rows else []
+            for a, b in zip(starts, np.append(starts[1:], batch.num_rows) if batch.num_rows else []):
+                key = tuple(int(values[a]) for values in keys)
+                yield key if len(key) > 1 else key[0], batch.slice(int(a), int(b - a))
 
     pieces = cut()
     piece = next(pieces, None)
