@@ -67,6 +67,26 @@ def test_predictions_equal_plain_bayes(spark):
         assert r.lang_pred == wanted[r.text][0] and r.score == pytest.approx(wanted[r.text][1])
 
 
+@pytest.mark.parametrize("at_once", [1, 2, 3])
+def test_blocks_of_languages_give_the_same_as_one(spark, at_once):
+    grams = language.Grams(bits=10)
+    train = [(prose(i, 30) + " zz" * (i % 3), "abcde"[i % 5]) for i in range(40)] + [("same", "f"), ("same", "g")]
+    texts = [prose(100 + i, 5) + " zz" * i for i in range(12)] + [None, "", "12 !", "same"]
+    known = spark.createDataFrame(train, "text string, lang string")
+    docs = spark.createDataFrame([(t, 1, 2) for t in texts + texts[:3]], "text string, row int, name int")
+    whole, parts = (sorted((str(r.text), r.row, r.name, r.lang_pred, round(r.score, 9)) for r in language.predict(docs, language.fit(known, grams, at_once=n)).collect())
+                    for n in (256, at_once))
+    assert parts == whole and len(parts) == len(texts) + 3
+
+
+def test_more_languages_than_a_block(spark):
+    """The 257th language and all others are told from each other by letters of their own."""
+    texts = [(" ".join(chr(0x4E00 + 3 * i + k) * 3 for k in range(3)), f"l{i:03}") for i in range(300)]
+    docs = spark.createDataFrame(texts, "text string, lang string")
+    found = language.predict(docs, language.fit(docs, language.Grams(bits=12))).collect()
+    assert len(found) == 300 and np.mean([r.lang == r.lang_pred for r in found]) > 0.99
+
+
 def test_edge_rows(edge_docs):
     found = {(r.doc_id, r.held_out, r.lang_pred) for r in language.identify(edge_docs).collect()}
     assert {(i, p) for i, _, p in found if i in (2, 3, 4)} == {(2, "und"), (3, "und"), (4, "und")}

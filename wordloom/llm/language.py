@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import map_batches, remainder, slices
+from wordloom.llm.common import map_batches, quoted, remainder, slices
 from wordloom.sources.workspace import staged
 
 _ROWS_AT_ONCE = 256
@@ -84,8 +84,8 @@ def _count(block: list[tuple[int, str, int]], grams: Grams) -> tuple[np.ndarray,
 
 
 @dataclass
-class Model:
-    """Log probabilities: ``logs[bucket, language]``. Its size depends on the buckets and the number of languages only."""
+class Block:
+    """Log probabilities of some languages: ``logs[bucket, language]``."""
 
     languages: list[str]
     prior: np.ndarray
@@ -93,91 +93,139 @@ class Model:
     grams: Grams
 
 
-def fit(docs: DataFrame, grams: Grams = Grams(), smoothing: float = 0.5, most_languages: int = 256,
+@dataclass
+class Model:
+    """What was learnt: the languages by name, their shares of the rows and the written table of counts.
+
+    The matrix of log probabilities is made in blocks of ``at_once`` languages, so neither the driver nor a task holds more
+    than ``2 ** bits`` times so many numbers, whatever the number of languages.
+    """
+
+    languages: list[str]
+    prior: np.ndarray
+    counts: DataFrame
+    grams: Grams
+    smoothing: float
+    at_once: int
+
+    def blocks(self) -> Iterator[Block]:
+        for start in range(0, len(self.languages), self.at_once):
+            names = self.languages[start:start + self.at_once]
+            place = F.array_position(F.array(*[F.lit(name) for name in names]), F.col("lang")) - 1
+            own = self.counts.where((F.col("lang") >= names[0]) & (F.col("lang") <= names[-1]) & (F.col("bucket") >= 0))
+            own = own.select(place.cast("int").alias("place"), "bucket", "n").toPandas()
+            sums = np.full((1 << self.grams.bits, len(names)), self.smoothing)
+            sums[own["bucket"].to_numpy(), own["place"].to_numpy()] += own["n"].to_numpy()
+            logs = np.log(sums) - np.log(sums.sum(axis=0, keepdims=True))
+            yield Block(names, self.prior[start:start + self.at_once], logs, self.grams)
+
+
+def fit(docs: DataFrame, grams: Grams = Grams(), smoothing: float = 0.5, at_once: int = 256,
         text: str = "text", lang: str = "lang") -> Model:
     """Learn from all rows of ``docs`` that have a text and a language.
 
-    Tasks add up dense counts by language and send the non-zero ones once; the driver gets the summed matrix, at most
-    ``2 ** bits`` rows for each of at most ``most_languages`` languages (more are an error).
+    Tasks add up dense counts of at most ``at_once`` languages at a time and send the non-zero ones. The summed counts stay
+    a table; the driver gets the names of the languages with their numbers of rows.
     """
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
         rows_of: dict[str, int] = {}
+
+        def sent():
+            for name, own in sums.items():
+                hit = np.flatnonzero(own)
+                buckets, n = np.append(hit, -1), np.append(own[hit], rows_of[name])
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(buckets), pa.string()), pa.array(buckets), pa.array(n)], ["lang", "bucket", "n"])
+            sums.clear()
+            rows_of.clear()
+
         for batch in batches:
             for part in (batch.slice(i, _ROWS_AT_ONCE) for i in range(0, batch.num_rows, _ROWS_AT_ONCE)):
                 texts, langs = part.column(0).to_pylist(), part.column(1).to_pylist()
                 for name in set(langs):
+                    if name not in sums and len(sums) >= at_once:
+                        yield from sent()
                     own = sums.setdefault(name, np.zeros(1 << grams.bits, np.int64))
                     mine = [t for t, x in zip(texts, langs) if x == name]
                     rows_of[name] = rows_of.get(name, 0) + len(mine)
                     for _, buckets, n in gram_counts(mine, grams):
                         np.add.at(own, buckets, n)
-        for name, own in sums.items():
-            hit = np.flatnonzero(own)
-            buckets, n = np.append(hit, -1), np.append(own[hit], rows_of[name])
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(buckets), pa.string()), pa.array(buckets), pa.array(n)], ["lang", "bucket", "n"])
+        yield from sent()
 
     summed = known.mapInArrow(count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     summed = staged(summed, "language-counts")
-    languages = sorted(r.lang for r in summed.where("bucket = -1").select("lang").limit(most_languages + 1).collect())
-    if len(languages) > most_languages:
-        raise ValueError(f"more than {most_languages} languages; their matrix is broadcast")
-    rows = summed.toPandas()
-    counts, prior = np.zeros((1 << grams.bits, len(languages))), np.zeros(len(languages))
-    for k, name in enumerate(languages):
-        own = rows[rows["lang"] == name]
-        grams_of = own[own["bucket"] >= 0]
-        counts[grams_of["bucket"].to_numpy(), k] = grams_of["n"].to_numpy()
-        prior[k] = own.loc[own["bucket"] < 0, "n"].sum()
-    logs = np.log(counts + smoothing) - np.log((counts + smoothing).sum(axis=0, keepdims=True))
-    return Model(languages, np.log(np.maximum(prior, 1)) - np.log(max(prior.sum(), 1)), logs, grams)
-
-
-def _predict(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
-    scores = np.tile(model.prior, (len(texts), 1))
-    for rows, buckets, n in gram_counts(texts, model.grams):
+    rows = sorted((r.lang, r.n) for r in summed.where("bucket = -1").select("lang", "n").collect())
+    prior = np.array([n for _, n in rows], np.float64)
+    return Model([name for name, _ in rows], np.log(np.maximum(prior, 1)) - np.log(max(prior.sum(), 1)), summed, grams, smoothing, at_once)
+
+
+def _scores(texts: list[str | None], block: Block) -> np.ndarray:
+    scores = np.tile(block.prior, (len(texts), 1))
+    for rows, buckets, n in gram_counts(texts, block.grams):
         cuts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1]))) if len(rows) else np.zeros(0, np.int64)
         if len(cuts):
-            scores[rows[cuts]] += np.add.reduceat(model.logs[buckets] * n[:, None], cuts, axis=0)
-    best = scores.argmax(axis=1)
-    sure = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
-    lettered = [bool(t) and any(map(str.isalpha, t)) for t in texts]
-    names = [model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
-    return names, np.where(lettered, sure, 0.0)
+            scores[rows[cuts]] += np.add.reduceat(block.logs[buckets] * n[:, None], cuts, axis=0)
+    return scores
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its ``keep`` columns) with ``lang_pred`` and ``score``, the posterior of that language.
-
-    Only the text is read. Null texts and texts without a letter get ``und`` with score 0, and so does every text if
-    there was nothing to learn from. Among languages with equal scores the first by name is taken. Repeated rows come out
-    repeated; an empty table stays empty.
-    """
+def _best(docs: DataFrame, block: Block, text: str, keep: list[str]) -> DataFrame:
+    """``keep`` and, of the block's languages, ``name`` of the first best one, its log probability ``top`` and the sum ``whole``
+    of all as logarithm; nulls for texts without a letter."""
     place = docs.columns.index(text)
-    languages, prior, grams = model.languages, model.prior, model.grams
-    matrix = docs.sparkSession.sparkContext.broadcast(model.logs)
+    names, prior, grams = np.array(block.languages, object), block.prior, block.grams
+    matrix = docs.sparkSession.sparkContext.broadcast(block.logs)
 
     def work():
-        known = Model(languages, prior, matrix.value, grams)
+        known = Block(list(names), prior, matrix.value, grams)
 
         def each(batch):
-            names, scores = [], []
+            found, tops, wholes, blanks = [], [], [], []
             for part in slices(batch.column(place), _ROWS_AT_ONCE):
                 texts = part.to_pylist()
-                if not known.languages:
-                    names += [UNKNOWN] * len(texts)
-                    scores.append(np.zeros(len(texts)))
-                    continue
-                found, sure = _predict(texts, known)
-                names += found
-                scores.append(sure)
-            return [pa.array(names, pa.string()), pa.array(np.concatenate(scores))]
+                scores = _scores(texts, known)
+                top = scores.max(axis=1)
+                found.append(names[scores.argmax(axis=1)])
+                tops.append(top)
+                wholes.append(top + np.log(np.exp(scores - top[:, None]).sum(axis=1)))
+                blanks += [not (t and any(map(str.isalpha, t))) for t in texts]
+            blank = np.array(blanks, bool)
+            return [pa.array(np.concatenate(x), kind, mask=blank)
+                    for x, kind in ((found, pa.string()), (tops, pa.float64()), (wholes, pa.float64()))]
 
         return each
 
-    return map_batches(docs, work, "lang_pred string, score double", keep)
+    return map_batches(docs, work, "name string, top double, whole double", keep)
+
+
+def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its ``keep`` columns) with ``lang_pred`` and ``score``, the posterior of that language.
+
+    Only the text is read. Null texts and texts without a letter get ``und`` with score 0, and so does every text if
+    there was nothing to learn from. Among languages with equal scores the first by name is taken. Very long texts are
+    counted in overlapping pieces. Repeated rows come out repeated; an empty table stays empty. Each block of languages of
+    the model is a pass over the texts; of several, which need the texts written once, the best and the sums are put
+    together by row.
+    """
+    kept = [quoted(c) for c in (docs.columns if keep is None else keep)]
+    rows = docs.select(F.struct(*kept).alias("kept"), quoted(text).alias("text"))
+    if not model.languages:
+        return rows.select("kept.*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    if len(model.languages) <= model.at_once:
+        found = _best(rows, next(model.blocks()), "text", ["kept"]).withColumn("sum", F.exp(F.col("whole") - F.col("top")))
+    else:
+        rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "language-rows")
+        parts = None
+        for number, block in enumerate(model.blocks()):
+            part = _best(rows.select("row", "text"), block, "text", ["row"]).withColumn("first", F.lit(-number))
+            parts = part if parts is None else parts.unionByName(part)
+        # Each row has one entry a block, so the lists are as long as there are blocks.
+        merged = parts.groupBy("row").agg(F.max(F.struct("top", "first", "name")).alias("best"), F.collect_list("whole").alias("wholes"))
+        whole = F.aggregate("wholes", F.lit(0.0), lambda total, one: total + F.exp(one - F.col("best.top")))
+        found = rows.select("row", "kept").join(merged, "row").select("kept", "best.name", "best.top", whole.alias("sum"))
+    return found.select("kept.*", F.coalesce("name", F.lit(UNKNOWN)).alias("lang_pred"),
+                        F.coalesce(F.when(F.col("name").isNotNull(), 1 / F.col("sum")), F.lit(0.0)).alias("score"))
 
 
 def identify(docs: DataFrame, grams: Grams = Grams(), doc_id: str = "doc_id") -> DataFrame:
