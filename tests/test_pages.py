@@ -101,3 +101,15 @@ def test_flat_page(spark):
 def test_title_default(spark):
     assert rows_of(P.page_titles(pages(spark, "<p>", "<title>t</title>"))) == [(0, "Unknown"), (1, "t")]
     assert P.page_titles(pages(spark, "x")).select(F.col("title")).first()[0] == "Unknown"
+
+
+def test_a_record_that_does_not_fit_leaves_its_neighbours_alone(spark):
+    def extractor(page_id, html):
+        article = {"Title": "t" + html, "Publisher": "p", "Views": "many" if page_id == 2 else 3, "Comments_Count": 0, "Content": "c"}
+        return {"Article": article, "Comments": [], **({"page_id": "?"} if page_id == 4 else {})}
+
+    stored = spark.createDataFrame([(i, str(i)) for i in range(1, 6)], "page_id bigint, html string").coalesce(1)
+    rows = {r.page_id: r for r in P.extract_pages(stored, extractor).collect()}
+    assert sorted(rows) == [1, 2, 3, 4, 5]
+    assert all(rows[i].Article.Title == f"t{i}" and rows[i].problem is None for i in (1, 3, 5))
+    assert all(rows[i].Article is None and rows[i].problem for i in (2, 4))

@@ -116,17 +116,27 @@ def _read(pages: DataFrame, read: Callable[[int, str], dict], schema: T.StructTy
             return {"page_id": page_id, "problem": "no html"}
         try:
             found = read(page_id, html)
-            row = {"page_id": page_id, **found} if found else {"page_id": page_id, "problem": "no record"}
-            pa.RecordBatch.from_pylist([row], schema=arrow)  # an extractor's record may not fit the schema
-            return row
+            return {"page_id": page_id, **found} if found else {"page_id": page_id, "problem": "no record"}
         except Exception as problem:  # one unreadable page must not stop the job
             return {"page_id": page_id, "problem": f"{type(problem).__name__}: {problem}"}
 
+    def fitting(page_id, row):
+        try:
+            pa.RecordBatch.from_pylist([row], schema=arrow)
+            return row
+        except Exception as problem:
+            return {"page_id": page_id, "problem": f"{type(problem).__name__}: {problem}"}
+
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for start in range(0, batch.num_rows, _PAGES_AT_ONCE):
                 ids, htmls = (column.to_pylist() for column in batch.slice(start, _PAGES_AT_ONCE).columns)
-                yield pa.RecordBatch.from_pylist([record(*page) for page in zip(ids, htmls)], schema=arrow)
+                records = [record(*page) for page in zip(ids, htmls)]
+                try:
+                    read_rows = pa.RecordBatch.from_pylist(records, schema=arrow)
+                except Exception:  # an extractor's record may not fit the schema; only then are they looked at one by one
+                    read_rows = pa.RecordBatch.from_pylist(list(map(fitting, ids, records)), schema=arrow)
+                yield read_rows
 
     return pages.select("page_id", "html").mapInArrow(run, full)
 
