@@ -3,6 +3,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -164,6 +165,22 @@ def test_every_word_with_enough_occurrences_has_a_number_of_its_own(spark):
     assert sorted(ids) == sorted([number(t) for t in tokens(r.text)[:-1]] for r in docs.collect())
 
 
+def test_words_move_by_their_own_occurrences_whatever_the_number_of_tokens(spark, monkeypatch):
+    """With counts as of a very large table the words with ``least`` occurrences are the same."""
+    asked, counts, own_words = [], lm.word_counts, lm.own_words
+    monkeypatch.setattr(lm, "word_counts", lambda texts: counts(texts).selectExpr("word", "c * 100000000 AS c"))
+    monkeypatch.setattr(lm, "own_words", lambda vocabulary, c, least, spec: asked.append(least) or own_words(vocabulary, c, least, spec))
+    assert lm.score(small_docs(spark), SMALL).count() == 60 and asked == [SMALL.least]
+
+
+def test_hashes_in_blocks_give_the_same_scores(spark):
+    spec = lm.Spec(head=4, single=3, signatures=8, classes=4, least=3)
+    whole, blocks = ({r.doc_id: r for r in lm.score(small_docs(spark), s).collect()} for s in (spec, replace(spec, block=7)))
+    assert len(lm.hash_blocks(np.arange(20), replace(spec, block=7))) == 3 and whole.keys() == blocks.keys()
+    for i, r in whole.items():
+        assert blocks[i][:5] == r[:5] and blocks[i].score == pytest.approx(r.score) and blocks[i].base_score == pytest.approx(r.base_score)
+
+
 def test_unit_contexts_and_bigrams_equal_plain_counts(spark, monkeypatch):
     monkeypatch.setattr(lm, "_DENSE_UNITS", 70)
     rng = np.random.default_rng(5)

@@ -32,9 +32,9 @@ class Spec:
     """``head`` most frequent words of up to ``longest`` bytes are broadcast with their counts.
 
     The core is the first ``single`` of them and ``signatures`` signatures; ``sweeps`` passes over it give the classes to
-    start from. Words of ``least`` occurrences and of one token in ``finest`` then move on their own, in up to ``rounds``
-    rounds: as a token has one word, these are at most ``finest`` words. Beyond the head they are known by their 64-bit
-    hashes, which are broadcast with a class a word: at most nine bytes times ``finest``.
+    start from. Words of ``least`` occurrences then move on their own, in up to ``rounds`` rounds, whatever the number of
+    texts. Beyond the head they are known by their 64-bit hashes, of which ``block`` are broadcast at once: more take a pass
+    over the texts a block. A unit of the core and a class a word, five bytes, are broadcast for all of them.
     ``delta`` is added to every word count, ``alpha`` class counts to the transitions from each class.
     """
 
@@ -44,7 +44,7 @@ class Spec:
     signatures: int = 4096
     classes: int = 64
     least: int = 20
-    finest: int = 1 << 23
+    block: int = 1 << 23
     sweeps: int = 3
     rounds: int = 3
     delta: float = 0.1
@@ -104,10 +104,13 @@ def signature(word: bytes, spec: Spec) -> int:
 
 
 class Numbers:
-    """Words as numbers: frequent words by their place, others by that of their hash in ``own`` or else by their signature."""
+    """Words as numbers: frequent words by their place, others by that of their hash in ``own`` or else by their signature.
 
-    def __init__(self, words: list[bytes], own: np.ndarray, spec: Spec):
-        self.spec, self.own, self.places, self.rare = spec, own, {w: i for i, w in enumerate(words)}, {}
+    ``own`` are all hashes or a block of them, of which the first has the place ``start``.
+    """
+
+    def __init__(self, words: list[bytes], own: np.ndarray, spec: Spec, start: int = 0):
+        self.spec, self.own, self.start, self.places, self.rare = spec, own, start, {w: i for i, w in enumerate(words)}, {}
 
     def of_text(self, text: bytes | None) -> tuple[np.ndarray, Counter]:
         parts, rest = [np.zeros(0, np.int32)], Counter()
@@ -128,22 +131,46 @@ class Numbers:
         hashes = np.array([xxhash.xxh64_intdigest(w, 42) for w in new], np.uint64)
         at = np.minimum(np.searchsorted(self.own, hashes), max(len(self.own) - 1, 0))
         known = self.own[at] == hashes if len(self.own) else np.zeros(len(new), bool)
-        first = self.spec.head + self.spec.signatures
+        first = self.spec.head + self.spec.signatures + self.start
         self.rare.update((w, first + i if k else self.spec.head + signature(w, self.spec))
                          for w, i, k in zip(new, at.tolist(), known.tolist()))
         return [self.rare[w] for w in words]
 
 
+def hash_blocks(own: np.ndarray, spec: Spec) -> list[tuple[int, np.ndarray]]:
+    """``(place of the first, hashes)`` of each block; without hashes there is one empty block."""
+    return [(start, own[start:start + spec.block]) for start in range(0, max(len(own), 1), spec.block)]
+
+
 def numbered_texts(docs: DataFrame, head: list[bytes], own: np.ndarray, spec: Spec, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs`` with ``ids``, a number for each word, and ``rest``, the words outside ``head`` with counts."""
-    place = docs.columns.index("text")
-    shared = docs.sparkSession.sparkContext.broadcast((head, own))
+    """``keep`` columns of ``docs`` with ``ids``, a number for each word, and ``rest``, the words outside ``head`` with counts.
+
+    One pass a block of ``own``. A word that is in no block so far has the number of its signature, which is below those of
+    all hashes, so the larger number of two passes is right.
+    """
+    *blocks, last = hash_blocks(own, spec)
+    texts = docs.select(*keep, "text") if "text" not in keep else docs.select(*keep)
+    for start, hashes in blocks:
+        ids = _numbering(texts, head, hashes, spec, start, "_ids array<int>", [c for c in texts.columns if c != "_ids"])
+        texts = staged(ids, "numbered-block")
+    return _numbering(texts, head, last[1], spec, last[0], "ids array<int>, rest array<struct<word:string,n:bigint>>", keep)
+
+
+def _numbering(docs: DataFrame, head: list[bytes], hashes: np.ndarray, spec: Spec, start: int, fields: str, keep: list[str]) -> DataFrame:
+    """One pass of :func:`numbered_texts`; ``_ids`` are the numbers of the passes before."""
+    place, before = docs.columns.index("text"), docs.columns.index("_ids") if "_ids" in docs.columns else None
+    shared = docs.sparkSession.sparkContext.broadcast((head, hashes))
 
     def work():
-        numbers = Numbers(*shared.value, spec)
+        numbers = Numbers(*shared.value, spec, start)
 
         def each(batch):
             ids, rest = zip(*map(numbers.of_text, byte_texts(batch.column(place))))
+            if before is not None:
+                found = np.maximum(np.concatenate(ids), batch.column(before).flatten().to_numpy())
+                ids = np.split(found, np.cumsum([len(i) for i in ids])[:-1])
+            if "rest" not in fields:
+                return [_lists(ids, pa.int32())]
             offsets = np.concatenate(([0], np.cumsum([len(r) for r in rest]))).astype(np.int32)
             words = pa.array([w for r in rest for w in r], pa.binary()).cast(pa.string())
             counts = pa.array([n for r in rest for n in r.values()], pa.int64())
@@ -152,7 +179,7 @@ def numbered_texts(docs: DataFrame, head: list[bytes], own: np.ndarray, spec: Sp
 
         return each
 
-    return map_batches(docs, work, "ids array<int>, rest array<struct<word:string,n:bigint>>", keep)
+    return map_batches(docs, work, fields, keep)
 
 
 def _lists(arrays, kind) -> pa.Array:
@@ -507,13 +534,30 @@ class Model:
 
 
 def _class_kinds(vocabulary: DataFrame, head: list[bytes], own: np.ndarray, spec: Spec, class_of: np.ndarray) -> np.ndarray:
-    """``[class, (words, tokens)]`` over the whole vocabulary."""
-    shared = vocabulary.sparkSession.sparkContext.broadcast((head, own, class_of))
+    """``[class, (words, tokens)]`` over the whole vocabulary, in one pass a block of ``own``: over the words from its first
+    hash to the next block's."""
+    blocks = hash_blocks(own, spec)
+    # Hashes rise as unsigned numbers; with the highest bit turned, signed ones have that order.
+    place = F.xxhash64("word").bitwiseXOR(F.lit(-(1 << 63)))
+    bounds = [int(hashes[0]) - (1 << 63) for _, hashes in blocks[1:]]
+    out = np.zeros((int(class_of.max()) + 1, 2), np.int64)
+    for i, (start, hashes) in enumerate(blocks):
+        rows = vocabulary.select("word", "c")
+        if i > 0:
+            rows = rows.where(place >= bounds[i - 1])
+        if i < len(bounds):
+            rows = rows.where(place < bounds[i])
+        out += _block_kinds(rows, head, hashes, spec, start, class_of)
+    return out
+
+
+def _block_kinds(vocabulary: DataFrame, head: list[bytes], hashes: np.ndarray, spec: Spec, start: int, class_of: np.ndarray) -> np.ndarray:
+    shared = vocabulary.sparkSession.sparkContext.broadcast((head, hashes, class_of))
     classes = int(class_of.max()) + 1
 
     def run(batches):
-        head, own, class_of = shared.value
-        numbers, sums = Numbers(head, own, spec), np.zeros((classes, 2), np.int64)
+        head, hashes, class_of = shared.value
+        numbers, sums = Numbers(head, hashes, spec, start), np.zeros((classes, 2), np.int64)
         for batch in (part for whole in batches for part in slices(whole, 4096)):
             words = batch.column(0).cast(pa.binary()).to_pylist()
             places = np.fromiter((numbers.places.get(w, -1) for w in words), np.int64, len(words))
@@ -525,7 +569,7 @@ def _class_kinds(vocabulary: DataFrame, head: list[bytes], own: np.ndarray, spec
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes)), pa.array(sums[:, 0]), pa.array(sums[:, 1])], ["k", "v", "n"])
 
     out = np.zeros((classes, 2), np.int64)
-    rows = vocabulary.select("word", "c").mapInArrow(run, "k bigint, v bigint, n bigint")
+    rows = vocabulary.mapInArrow(run, "k bigint, v bigint, n bigint")
     for k, v, n in rows.groupBy("k").agg(F.sum("v"), F.sum("n")).collect():
         out[k] = v, n
     return out
@@ -618,14 +662,12 @@ def score(docs: DataFrame, spec: Spec = Spec(), fold=None, doc_id: str = "doc_id
     own = own.withColumn("held_out", fold)
     vocabulary = staged(word_counts(own.where("NOT held_out")), "vocabulary")
     words, counts = head_words(vocabulary, spec)
-    tokens = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    least = max(spec.least, -(-tokens // spec.finest))
-    own_hashes, signatures = own_words(vocabulary, counts, least, spec)
+    own_hashes, signatures = own_words(vocabulary, counts, spec.least, spec)
     # The row numbers are written with the rows, so they cannot shift when a task is repeated.
     numbered = staged(numbered_texts(own, words, own_hashes, spec, ["doc_id", "held_out"])
                       .withColumn("_row", F.monotonically_increasing_id()), "numbered-texts")
     training = numbered.where("NOT held_out")
-    model = train(training, vocabulary, words, counts, own_hashes, signatures, training.count(), least, spec)
+    model = train(training, vocabulary, words, counts, own_hashes, signatures, training.count(), spec.least, spec)
 
     parts = head_scores(numbered.drop("rest"), model, ["_row", "doc_id", "held_out"])
     rest = numbered.select("_row", F.explode("rest").alias("r")).select("_row", "r.word", "r.n")
