@@ -184,3 +184,14 @@ def test_a_call_is_made_again_before_it_counts_as_failed(spark):
     marker = f"run-{uuid.uuid4().hex}"
     answers = staged(L.responses(L.word_lists(numbered(spark, 10)), labeller, wait=0.01), "answers")
     assert seen.value == 2 and [r.error for r in answers.collect()] == [None]
+
+
+def test_a_task_holds_a_bounded_number_of_answers(spark):
+    """The worker's memory while 2,400 answers of 200,000 characters pass through one task."""
+    def labeller(words):
+        rss = int(Path("/proc/self/statm").read_text().split()[1]) * 4096
+        return f"{rss} " + "x" * 200_000
+
+    found = L.responses(spark.range(2400).selectExpr("id AS batch_id", "array('a') AS words"), labeller, tasks=1)
+    used = [int(r.rss) for r in found.select(F.split("response", " ")[0].alias("rss")).collect()]
+    assert len(used) == 2400 and max(used) - min(used) < 300_000_000
