@@ -376,3 +376,17 @@ def test_labels_and_rejects_are_counted_in_the_pass_that_writes_them(spark):
 
     assert jobs(Observation("labels")) == jobs(None)
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_run_works_out_its_labels_once(spark):
+    """However many steps read them: five before, each with the parsing that made them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    made = labels(spark, *[label(i, f"w{i}", synonym=f"w{i + 1}") for i in range(40)])
+    tables = flows.enrich(made.mapInArrow(counted, made.schema), new_path(spark, "lexicon"), "one")
+    assert tables["nodes"].count() == 41 and seen.value == 40
