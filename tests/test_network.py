@@ -2,11 +2,13 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
 from wordloom.operators import communities as C
 from wordloom.operators import network as N
 from wordloom.sources.files import rows
+from wordloom.sources.workspace import RoundTables
 
 
 def edge_table(spark, *pairs, rel="SYNONYM"):
@@ -181,3 +183,11 @@ def test_moving_undoes_an_early_merge(spark):
     start = rows(spark, list(wrong.items()), "word string, theme string")
     found = {r.word: r.theme for r in C.move_in_rounds(pair_table(spark, pairs), start).collect()}
     assert quality(pairs, found) > quality(pairs, wrong) and found == {w: w[:3] + "w00" for w in wrong}
+
+
+def test_tables_of_rounds_have_files_of_a_bounded_number_of_rows(spark):
+    """Repetitive rows take few bytes, so files of many rows would be read by one task."""
+    store = RoundTables(spark, rows_a_file=1000)
+    table = store(spark.range(10_000).selectExpr("'same' AS x", "id % 2 AS y").coalesce(1), "links")
+    sizes = table.groupBy(F.input_file_name().alias("file")).count().collect()
+    assert table.count() == 10_000 and max(r["count"] for r in sizes) <= 1000

@@ -42,10 +42,11 @@ def _merge_round(links: DataFrame, degrees: DataFrame, total: int, store: RoundT
         .withColumn("loss", _big("dx") * _big("dy") - twice * _big("n"))
         .where("loss <= 0")
     )
-    ends = scored.select(_both_ends("n", "loss"))
-    lo, hi = F.least("x", "y"), F.greatest("x", "y")
-    order = F.struct("loss", F.xxhash64(lo, hi), lo, hi)
-    best = ends.groupBy("x").agg(F.min_by(F.struct("y", "n", "loss"), order).alias("b")).select("x", "b.*")
+    lo, hi = F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")
+    ends = scored.withColumn("h", F.xxhash64(lo, hi)).select(_both_ends("n", "loss", "h"))
+    # One struct is both the order and what is kept, which makes for short rows in the sort and the shuffle.
+    best = ends.groupBy("x").agg(F.min(F.struct("loss", "h", lo, hi, "n")).alias("b"))
+    best = best.select("x", F.when(F.col("b.lo") == F.col("x"), F.col("b.hi")).otherwise(F.col("b.lo")).alias("y"), "b.n", "b.loss")
     best = store(best, "best")
     choice = best.select(F.col("x").alias("y"), F.col("y").alias("back"))
     # Written, so that the next join on the same column shuffles anew and Spark can split a hub's partition.
@@ -78,7 +79,7 @@ def merge_in_rounds(pairs: DataFrame) -> DataFrame:
 
     A theme is named by its smallest word. Modularity never falls, and at the end no merge would raise it.
     """
-    store = RoundTables(pairs.sparkSession)
+    store = RoundTables(pairs.sparkSession, rows_a_file=500_000)
     links = store(pairs.toDF("x", "y").withColumn("n", F.lit(1).cast("bigint")), "links")
     total = links.count()
     degrees = links.select(_both_ends("n")).groupBy(F.col("x").alias("g")).agg(F.sum("n").alias("degree"))
@@ -151,7 +152,7 @@ def move_in_rounds(pairs: DataFrame, grouped: DataFrame) -> DataFrame:
     Merging is never undone, so an early merge can leave a word on the wrong side; this mends it. Moves run in rounds over
     pairs of themes that have none in common. A theme is named by its smallest word; one that loses all its words is gone.
     """
-    store = RoundTables(pairs.sparkSession)
+    store = RoundTables(pairs.sparkSession, rows_a_file=500_000)
     around = store(pairs.select(F.inline(F.array(
         F.struct(F.col("a").alias("word"), F.col("b").alias("v")), F.struct(F.col("b").alias("word"), F.col("a").alias("v"))))), "around")
     total = around.count() // 2
