@@ -379,7 +379,7 @@ def test_labels_and_rejects_are_counted_in_the_pass_that_writes_them(spark):
 
 
 def test_a_run_works_out_its_labels_once(spark):
-    """However many steps read them: five before, each with the parsing that made them."""
+    """Six steps read them."""
     seen = spark.sparkContext.accumulator(0)
 
     def counted(batches):
