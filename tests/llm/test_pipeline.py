@@ -65,7 +65,7 @@ def test_run_gives_the_last_stage(spark, stages):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d", n)} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d", n)} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES])
